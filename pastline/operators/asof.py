@@ -32,11 +32,14 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: st
     row (``out`` is null when the key has no right row at or before the time)."""
     pos = F.struct(*[F.col(c) for c in right_position]) if right_position else F.lit(0)
     lcols = left.columns
+    # compare times in the left side's type; no cast when both sides agree
+    lt = dict(left.dtypes)[left_time]
+    rt_col = F.col(right_time) if dict(right.dtypes)[right_time] == lt else F.col(right_time).cast(lt)
     l_part = left.select(
-        F.col(left_key).alias("_k"), F.col(left_time).cast("timestamp").alias("_t"),
+        F.col(left_key).alias("_k"), F.col(left_time).alias("_t"),
         F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     r_part = right.select(
-        F.col(right_key).alias("_k"), F.col(right_time).cast("timestamp").alias("_t"),
+        F.col(right_key).alias("_k"), rt_col.alias("_t"),
         F.lit(0).alias("_side"), pos.alias("_p"), F.struct(*[F.col(v) for v in values]).alias("_r"))
     u = l_part.unionByName(r_part, allowMissingColumns=True).withColumn(CHUNK, chunk_col("_t", chunk_seconds))
 

@@ -30,7 +30,9 @@ DAY_SECONDS = 86400
 def chunk_col(time: str | Column, chunk_seconds: int = DAY_SECONDS) -> Column:
     """Time chunk id: whole ``chunk_seconds`` periods since the epoch."""
     t = F.col(time) if isinstance(time, str) else time
-    return F.floor(F.unix_seconds(t.cast("timestamp")) / F.lit(chunk_seconds)).cast("bigint")
+    # seconds since 1970-01-01 on the wall clock (no session time zone involved)
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t.cast("timestamp_ntz"))
+    return F.floor(secs / F.lit(chunk_seconds)).cast("bigint")
 
 
 def local_window(keys: list[str], order: list[str | Column]) -> WindowSpec:
@@ -47,5 +49,5 @@ UPTO = (Window.unboundedPreceding, 0)
 
 def whole_days_between(later: Column, earlier: Column) -> Column:
     """Elapsed whole 24-hour periods (floor), not calendar-day difference."""
-    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+    micros = F.timestamp_diff("MICROSECOND", earlier, later)
     return F.floor(micros / F.lit(86_400_000_000))
