@@ -53,25 +53,43 @@ def point_biserial(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFram
     return _stack(wide, cols, ["r"]).orderBy(F.desc(F.abs(F.col("r"))), "column_name")
 
 
-def average_ranks(long: DataFrame, *, keys: Sequence[str], value: str = "v",
-                  buckets: int = 4096) -> DataFrame:
-    """Average rank (ties share the mean of their positions, 1-based) of
-    every distinct ``value`` within each key: ``keys..., value, n, rank``."""
+def value_prefix(long: DataFrame, *, keys: Sequence[str], value: str, sums: Sequence[str] = (),
+                 buckets: int = 4096) -> DataFrame:
+    """Per key and distinct value: ``n`` rows, the sums of ``sums`` columns at
+    that value, and the same quantities summed over all strictly smaller
+    values (``before_n``, ``before_<s>``).
+
+    Values are placed in ``buckets`` equal-width buckets between the key's
+    min and max; bucket totals are prefix-summed over a table with one row
+    per bucket and the running sums inside a bucket run over distinct values
+    only, so neither a hot key nor a hot value lands in one task with all rows.
+    """
     keys = list(keys)
     bounds = long.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    # one row per key (a column or a pair of columns): bounded, broadcast is safe
+    # one row per key (a column, a pair of columns or a class): bounded, broadcast is safe
     b = long.join(F.broadcast(bounds), keys)
     width = F.col("_hi") - F.col("_lo")
     bucket = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / width * buckets),
                                        F.lit(buckets - 1))).otherwise(F.lit(0))
-    vc = b.groupBy(*keys, bucket.alias("_b"), F.col(value)).agg(F.count(F.lit(1)).alias("n"))
-    bt = vc.groupBy(*keys, "_b").agg(F.sum("n").alias("_bn"))
-    off = bt.select(*keys, "_b", F.coalesce(F.sum("_bn").over(
-        Window.partitionBy(*keys).orderBy("_b").rowsBetween(*BEFORE)), F.lit(0)).alias("_off"))
-    within = vc.withColumn("_cum", F.coalesce(F.sum("n").over(
-        Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(*BEFORE)), F.lit(0)))
-    return (within.join(off, [*keys, "_b"])
-            .select(*keys, value, "n", (F.col("_off") + F.col("_cum") + (F.col("n") + 1) / 2.0).alias("rank")))
+    cols = ["n", *sums]
+    vc = b.groupBy(*keys, bucket.alias("_b"), F.col(value)).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
+    bt = vc.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in cols])
+    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*BEFORE)
+    off = bt.select(*keys, "_b", *[F.coalesce(F.sum(f"_bt_{c}").over(wb), F.lit(0)).alias(f"_off_{c}")
+                                   for c in cols])
+    wv = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(*BEFORE)
+    within = vc.select("*", *[F.coalesce(F.sum(c).over(wv), F.lit(0)).alias(f"_cum_{c}") for c in cols])
+    return within.join(off, [*keys, "_b"]).select(
+        *keys, value, *cols, *[(F.col(f"_off_{c}") + F.col(f"_cum_{c}")).alias(f"before_{c}") for c in cols])
+
+
+def average_ranks(long: DataFrame, *, keys: Sequence[str], value: str = "v",
+                  buckets: int = 4096) -> DataFrame:
+    """Average rank (ties share the mean of their positions, 1-based) of
+    every distinct ``value`` within each key: ``keys..., value, n, rank``."""
+    vp = value_prefix(long, keys=keys, value=value, buckets=buckets)
+    return vp.select(*keys, value, "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank"))
 
 
 def spearman_pairs(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> DataFrame:
