@@ -25,7 +25,7 @@ def contest_features(spark, sf_dir, k=5):
     return H.contest_history(contest(spark, sf_dir), k=k)
 
 
-@query("trailing_mean_5", "S1 U1 W1 A18 J3", sql=f"""
+@query("trailing_mean_5", "S1 U1 W1 A18 J3 O2", sql=f"""
 , {_LONG.strip()},
 f as (
   select match_id, venue, avg(gf) over w as gf5, avg(ga) over w as ga5

@@ -69,3 +69,36 @@ def imbalance_experiment(spark, sf_dir):
         e = V.evaluate(m, _split(x, "val"), with_probs=False)
         rows.append((arm, float(e["f1_macro"]), float(e["recall_D"]), int(kept)))
     return spark.createDataFrame(rows, "arm string, val_f1_macro double, val_recall_D double, rounds long")
+
+
+@query("stage_roundtrip", "S3 S4 S5 S9", sql=S.features_sql() + """
+select split, count(*) as n_rows from feat group by split""")
+def stage_roundtrip(spark, sf_dir):
+    """Write the feature stage and the design matrix (partitioned by split)
+    to the shared folder, read each split back with partition pruning."""
+    from pastline.sources import sinks
+    feats_path = sinks.stage_root(spark, "features")
+    x_path = sinks.stage_root(spark, "design")
+    sinks.write_stage(S.features(spark, sf_dir), feats_path)
+    sinks.write_stage(S.design(spark, sf_dir), x_path, partition_by="split")
+    parts = [sinks.read_split(spark, x_path, s).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+             for s in ("train", "val", "test")]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sinks.write_csv(out, sinks.stage_root(spark, "split_counts_csv"))
+    return out
+
+
+@query("aligned_predictions", "J6 I1", sql=S.features_sql() + """
+, p as (select match_id, label from pred)
+select f.match_id, f.split, f.division, p.label from feat f join p using (match_id)""")
+def aligned_predictions(spark, sf_dir):
+    """Predictions meet their row reference by key (never by position);
+    the row counts must agree."""
+    from pastline.sources.fixtures import pred
+    ref = S.features(spark, sf_dir).select("match_id", "split", "division")
+    p = pred(spark, sf_dir).select("match_id", "label")
+    out = ref.join(p, "match_id", "inner")
+    n_ref, n_out = ref.count(), out.count()
+    if n_ref != n_out:
+        raise ValueError(f"predictions do not align with the row reference: {n_out} vs {n_ref}")
+    return out
