@@ -1,0 +1,65 @@
+"""Past-only history features over a contest stream.
+
+New contests arrive as files. Each micro-batch is turned into entity rows
+(one per side) and grouped by entity with ``applyInPandasWithState``. The
+state per entity holds what the batch operator would read from earlier
+rows: the last ``k`` goals for/against, the time of the previous contest
+and the running win streak. Features are emitted from the state *before*
+the row is folded in, so every output equals the batch result of
+:func:`pastline.operators.history.entity_history` as long as an entity's
+contests arrive in time order (a row older than the entity's state is
+emitted with ``late = true`` and does not change the state).
+
+The per-group work is bounded by one micro-batch; the state is a few
+numbers per entity.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from pastline.operators.history import to_entity_rows
+
+OUT_SCHEMA = ("match_id long, venue string, entity int, gf5 double, ga5 double, rest_days double, "
+              "win_streak double, late boolean")
+STATE_SCHEMA = "gf array<double>, ga array<double>, last_t timestamp_ntz, last_id long, streak long"
+
+
+def _update(k: int):
+    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            gf, ga, last_t, last_id, streak = state.get
+            gf, ga = list(gf), list(ga)
+        else:
+            gf, ga, last_t, last_id, streak = [], [], None, None, 0
+        pdf = pd.concat(list(pdfs)).sort_values(["match_date", "match_id"], kind="mergesort")
+        out = []
+        for r in pdf.itertuples(index=False):
+            t = pd.Timestamp(r.match_date)
+            late = last_t is not None and (t, r.match_id) < (pd.Timestamp(last_t), last_id)
+            vg = [x for x in gf[-k:] if x is not None and x == x]
+            va = [x for x in ga[-k:] if x is not None and x == x]
+            rest = None if last_t is None else float((t - pd.Timestamp(last_t)) // pd.Timedelta(days=1))
+            out.append((r.match_id, r.venue, key[0], sum(vg) / len(vg) if vg else None,
+                        sum(va) / len(va) if va else None, rest, float(streak), bool(late)))
+            if late:
+                continue
+            gf, ga = (gf + [r.gf])[-k:], (ga + [r.ga])[-k:]
+            streak = streak + 1 if r.won else 0
+            last_t, last_id = t.to_pydatetime(), r.match_id
+        state.update((gf, ga, last_t, last_id, streak))
+        yield pd.DataFrame(out, columns=["match_id", "venue", "entity", "gf5", "ga5", "rest_days",
+                                         "win_streak", "late"])
+    return fn
+
+
+def history_stream(contests: DataFrame, k: int = 5) -> DataFrame:
+    """Streaming (or batch) contest rows -> entity rows with past-only features."""
+    long = to_entity_rows(contests)
+    return long.groupBy("entity").applyInPandasWithState(
+        _update(k), outputStructType=OUT_SCHEMA, stateStructType=STATE_SCHEMA,
+        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)

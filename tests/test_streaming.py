@@ -1,0 +1,38 @@
+"""Streamed history state equals the batch chunked scan."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from pastline.operators import history as H
+from pastline.sources.fixtures import contest
+from pastline.streaming.history_state import history_stream
+from tests.conftest import SF001
+
+
+def test_stream_matches_batch(spark):
+    c = contest(spark, SF001).select("match_id", "match_date", "home", "away", "home_score", "away_score")
+    root = tempfile.mkdtemp(prefix="pastline-stream-", dir="/tmp")
+    src = os.path.join(root, "in")
+    # arrivals in time order: one file per year
+    years = sorted(r[0] for r in c.select(F.year("match_date")).distinct().collect())
+    for i, y in enumerate(years):
+        c.where(F.year("match_date") == y).coalesce(1).write.parquet(os.path.join(src, f"part={i:03d}"))
+    stream = spark.readStream.schema(c.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    q = (history_stream(stream).writeStream.outputMode("append").format("memory").queryName("hist_out")
+         .option("checkpointLocation", os.path.join(root, "ckpt")).start())
+    q.processAllAvailable()
+    q.stop()
+    got = {(r["match_id"], r["venue"]): r for r in spark.table("hist_out").collect()}
+    batch = H.entity_history(H.to_entity_rows(c)).collect()
+    assert len(got) == len(batch)
+    for b in batch:
+        g = got[(b["match_id"], b["venue"])]
+        assert not g["late"]
+        for col in ("gf5", "ga5", "rest_days", "win_streak"):
+            if b[col] is None:
+                assert g[col] is None
+            else:
+                assert g[col] == pytest.approx(b[col])
