@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: st
 
     w = local_window(["_k"], [F.col("_t"), F.col("_side"), F.col("_p")]).rowsBetween(*UPTO)
     local = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
+    local = local.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and the carry join
     # one row per (key, chunk) - also for chunks with left rows only
     summary = local.groupBy("_k", CHUNK).agg(
         F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.struct("_t", "_p"))).alias("_last"))

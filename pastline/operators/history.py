@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,6 +76,9 @@ def entity_history(long: DataFrame, *, entity: str = "entity", time: str = "matc
         *[F.count(v).over(w.rowsBetween(-k, -1)).alias(f"_lc_{v}") for v in values],
     )
     local = local.withColumn("_lloss", F.max(F.when(~F.col(won), F.col("_lrn"))).over(w.rowsBetween(*BEFORE)))
+    # read twice below (summary and carry join): one shuffle and one sort,
+    # kept for the life of the result (memory, then disk)
+    local = local.persist(StorageLevel.MEMORY_AND_DISK)
 
     # Level 2: one summary row per (entity, chunk), then carries across chunks.
     tail = F.struct(F.col("_lrn"), *[F.col(v) for v in values])
@@ -167,6 +171,7 @@ def pair_history(df: DataFrame, *, home: str = "home", away: str = "away",
     sums = ["_one", "_g", "_wlo", "_whi"]
     df = df.withColumn("_one", F.lit(1))
     local = df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_l{c}") for c in sums])
+    local = local.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and the carry join
     summary = local.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sums])
     ws = chunk_window(keys).rowsBetween(*BEFORE)
     carry = summary.select(*keys, CHUNK, *[F.coalesce(F.sum(c).over(ws), F.lit(0)).alias(f"_c{c}") for c in sums])
