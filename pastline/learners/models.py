@@ -145,7 +145,7 @@ def fit_logreg(train: DataFrame, C: float = 1.0, balanced: bool = True, max_iter
     sw = t.agg(F.sum(WEIGHT)).first()[0]
     lr = LogisticRegression(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, family="multinomial",
                             regParam=1.0 / (C * sw), elasticNetParam=0.0, standardization=False,
-                            maxIter=max_iter, tol=1e-8)
+                            maxIter=max_iter, tol=1e-6)
     return SparkProb(_fit_persisted(lr, t))
 
 
@@ -168,13 +168,15 @@ def fit_forest(train: DataFrame, n_trees: int = 50, max_depth: int = 10, min_lea
     return SparkProb(rf.fit(t))
 
 
-def fit_linear_svm(train: DataFrame, C: float = 1.0, balanced: bool = True, max_iter: int = 100) -> SparkMargins:
+def fit_linear_svm(train: DataFrame, C: float = 1.0, balanced: bool = True, max_iter: int = 50,
+                   tol: float = 1e-4) -> SparkMargins:
     """One-vs-rest linear SVM with class-balanced weights."""
     t = weighted(train, balanced)
     sw = t.agg(F.sum(WEIGHT)).first()[0]
     svc = LinearSVC(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, regParam=1.0 / (C * sw),
-                    maxIter=max_iter, standardization=False)
-    ovr = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT)
+                    maxIter=max_iter, tol=tol, standardization=False)
+    # the k binary problems are independent: fit them concurrently
+    ovr = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, parallelism=K)
     return SparkMargins(_fit_persisted(ovr, t))
 
 

@@ -213,7 +213,8 @@ _TABLE_COLS = ["val_f1_macro", "test_f1_macro", "test_acc", "test_f1_H", "test_f
 
 
 def model_table_df(spark, sf_dir) -> DataFrame:
-    lp = model_predictions(spark, sf_dir).where(F.col("split").isin("val", "test"))
+    # read by five aggregates below: computed once, kept for the life of the result
+    lp = model_predictions(spark, sf_dir).where(F.col("split").isin("val", "test")).persist()
     by = ["model", "family", "split"]
     counts = M.confusion_counts(lp, by=by)
     summ = M.summary(counts, by=by)
