@@ -103,11 +103,23 @@ class Preparer:
         per-column medians, all on train rows only."""
         tr = df.where(F.col(self.split_col) == self.train_value)
         pooled = tr.select(self.group_col, F.explode(F.array(*[F.col(c) for c in self.rating_cols])).alias("_e"))
-        per_group = pooled.groupBy(self.group_col).agg(_median(F.col("_e"), self.approx).alias("_m"))
-        groups = {r[0]: r[1] for r in per_group.collect()}  # one row per category
-        glob = pooled.agg(_median(F.col("_e"), self.approx)).first()[0]
-        meds = (tr.agg(*[_median(F.col(c), self.approx).alias(c) for c in self.median_cols]).first().asDict()
-                if self.median_cols else {})
+        if self.approx:
+            per_group = pooled.groupBy(self.group_col).agg(_median(F.col("_e"), True).alias("_m"))
+            groups = {r[0]: r[1] for r in per_group.collect()}  # one row per category
+            glob = pooled.agg(_median(F.col("_e"), True)).first()[0]
+            meds = (tr.agg(*[_median(F.col(c), True).alias(c) for c in self.median_cols]).first().asDict()
+                    if self.median_cols else {})
+            return groups, glob, meds
+        # exact medians, no group's values in one aggregation buffer
+        from pastline.operators.stats import exact_percentiles
+        groups = {r[self.group_col]: r["value"] for r in
+                  exact_percentiles(pooled, ["_e"], [0.5], by=[self.group_col]).collect()}  # one per category
+        g = exact_percentiles(pooled, ["_e"], [0.5]).collect()
+        glob = g[0]["value"] if g else None
+        meds = {c: None for c in self.median_cols}
+        if self.median_cols:
+            meds.update({r["column_name"]: r["value"]
+                         for r in exact_percentiles(tr, self.median_cols, [0.5]).collect()})
         return groups, glob, meds
 
     def fit(self, df: DataFrame) -> Prepared:

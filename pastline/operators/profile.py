@@ -100,11 +100,14 @@ def describe_block(df: DataFrame, cols: Sequence[str], pcts: Sequence[float] = P
         aggs += [F.count(x).alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
                  F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"),
                  F.max(x).alias(f"max__{c}"), F.skewness(x).alias(f"g1__{c}"),
-                 F.kurtosis(x).alias(f"g2__{c}"),
-                 F.percentile(x, F.array(*[F.lit(p) for p in pcts])).alias(f"pc__{c}")]
+                 F.kurtosis(x).alias(f"g2__{c}")]
     wide = df.agg(*aggs)
-    fields = ["count", "mean", "std", "min", "max", "g1", "g2", "pc"]
-    long = _stack(wide, cols, fields, keep=["_n"])
+    fields = ["count", "mean", "std", "min", "max", "g1", "g2"]
+    # exact percentiles without a whole column in one aggregation buffer
+    from pastline.operators.stats import exact_percentiles
+    pq = exact_percentiles(df, cols, pcts).groupBy("column_name").agg(
+        F.array(*[F.max(F.when(F.col("p") == float(p), F.col("value"))) for p in pcts]).alias("pc"))
+    long = _stack(wide, cols, fields, keep=["_n"]).join(pq, "column_name", "left")
     n = F.col("count").cast("double")
     skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
@@ -145,8 +148,11 @@ def class_stats(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
     """Mean and exact median of each feature per class (long form)."""
     long = df.where(F.col(target).isNotNull()).select(target, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s"))
-    return long.groupBy(target, "s.column_name").agg(
-        F.round(F.avg("s.v"), 6).alias("mean"), F.round(F.median("s.v"), 6).alias("median"))
+    from pastline.operators.stats import exact_percentiles
+    means = long.groupBy(target, "s.column_name").agg(F.round(F.avg("s.v"), 6).alias("mean"))
+    med = exact_percentiles(df.where(F.col(target).isNotNull()), cols, [0.5], by=[target]).select(
+        target, "column_name", F.round("value", 6).alias("median"))
+    return means.join(med, [target, "column_name"], "left")
 
 
 def class_monotone(stats: DataFrame, target: str, order: Sequence[str]) -> DataFrame:

@@ -116,8 +116,8 @@ def iqr_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """ST5: Q1, Q3, fences at k*IQR, strict outlier count and % of non-null.
     Two passes: exact quartiles, then one counting aggregate with the fences
     as literals."""
-    q = df.agg(*[F.percentile(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75))).alias(c)
-                 for c in cols]).first()
+    qs = {(r["column_name"], r["p"]): r["value"] for r in exact_percentiles(df, cols, [0.25, 0.75]).collect()}
+    q = {c: (qs[(c, 0.25)], qs[(c, 0.75)]) for c in cols}  # two values per column
     fences = {c: (q[c][0], q[c][1], q[c][0] - k * (q[c][1] - q[c][0]), q[c][1] + k * (q[c][1] - q[c][0]))
               for c in cols}
     aggs = []
@@ -188,9 +188,9 @@ def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
     """ST13: per group Q1, median, Q3, whiskers (most extreme values inside
     1.5 IQR) and the count outside them. Quartiles first, then one pass."""
     x = F.col(value).cast("double")
-    q = (df.where(x.isNotNull()).groupBy(by)
-         .agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q")))
-    qs = q.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    pq = exact_percentiles(df.where(x.isNotNull()), [value], [0.25, 0.5, 0.75], by=[by])
+    qs = pq.groupBy(by).agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
+                              for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qs = qs.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                          "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
     # one row per group value: broadcast is bounded by the number of groups
@@ -200,3 +200,36 @@ def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
         F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("_x"))).alias("whisker_hi"),
         F.count_if(~inside).alias("n_fliers"))
+
+
+def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *, by: Sequence[str] = (),
+                      buckets: int = 4096) -> DataFrame:
+    """Exact percentiles with linear interpolation (as ``percentile`` /
+    ``quantile_cont``), without holding a group's values in one task.
+
+    Values are ranked with :func:`value_prefix` (bucketed counts of distinct
+    values); for each (group, column) and p the two ranks ``floor`` and
+    ``ceil`` of ``(n-1)p`` are looked up as the distinct value whose
+    cumulative range covers them. The targets table has one row per
+    (group, column, p) - bounded by the schema and the group column - and is
+    broadcast. Returns ``by..., column_name, p, value``.
+    """
+    by = list(by)
+    long = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
+    ).select(*by, "s.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    keys = [*by, "column_name"]
+    vp = value_prefix(long, keys=keys, value="v", buckets=buckets)
+    n = vp.groupBy(*keys).agg(F.sum("n").alias("_N"))
+    tg = n.select(*keys, "_N", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+    h = (F.col("_N") - 1) * F.col("p")
+    tg = tg.select(*keys, "p", h.alias("_h"), F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.floor(h).alias("r")),
+        F.struct(F.lit(1).alias("side"), F.ceil(h).alias("r")))).alias("t")).select(*keys, "p", "_h", "t.*")
+    # one row per (group, column, p, side): bounded by the number of groups x columns x probabilities
+    hit = vp.join(F.broadcast(tg), keys).where(
+        (F.col("r") >= F.col("before_n")) & (F.col("r") < F.col("before_n") + F.col("n")))
+    g = hit.groupBy(*keys, "p", "_h").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_lo"),
+                                          F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_hi"))
+    frac = F.col("_h") - F.floor(F.col("_h"))
+    return g.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))

@@ -387,10 +387,11 @@ def _maha(spark, sf_dir):
 @query("mahalanobis", "ST8")
 def mahalanobis(spark, sf_dir):
     d, thr = _maha(spark, sf_dir)
+    med = ST.exact_percentiles(d, ["d2"], [0.5]).first()["value"]
     return d.agg(F.count(F.lit(1)).alias("n_complete"), F.count_if("mv_outlier").alias("n_outliers"),
                  F.round(F.min("d2"), 6).alias("d2_min"), F.round(F.avg("d2"), 6).alias("d2_mean"),
-                 F.round(F.median("d2"), 6).alias("d2_median"), F.round(F.max("d2"), 6).alias("d2_max")
-                 ).withColumn("threshold", F.lit(round(thr, 6)))
+                 F.round(F.max("d2"), 6).alias("d2_max")
+                 ).withColumns({"d2_median": F.lit(round(med, 6)), "threshold": F.lit(round(thr, 6))})
 
 
 def _profiled(spark, sf_dir):
