@@ -129,7 +129,7 @@ def pred_rows(spark, sf_dir):
 
 @query("confusion", "V9", sql=_PRED_ROWS + """
 , cc as (select label, pred, count(*) as n from pr group by label, pred)
-select label, """ + ", ".join(f"sum(case when pred = {p} then n else 0 end) as n_{p}" for p in LABELS) + ", "
+select label, """ + ", ".join(f"cast(sum(case when pred = {p} then n else 0 end) as bigint) as n_{p}" for p in LABELS) + ", "
        + ", ".join(f"round(sum(case when pred = {p} then n else 0 end) / sum(n), 6) as r_{p}" for p in LABELS)
        + " from cc group by label")
 def confusion(spark, sf_dir):
@@ -137,7 +137,8 @@ def confusion(spark, sf_dir):
 
 
 @query("prf_report", "V5", sql=_PRED_ROWS + _summary_sql("(select 1 as one, * from pr)", "one") + """
-select cls, tp, support, predicted, round(precision, 6) as precision, round(recall, 6) as recall,
+select cls, cast(tp as bigint) as tp, cast(support as bigint) as support, cast(predicted as bigint) as predicted,
+       round(precision, 6) as precision, round(recall, 6) as recall,
        round(f1, 6) as f1 from pcf""")
 def prf_report(spark, sf_dir):
     pc = M.per_class(M.confusion_counts(pred_rows(spark, sf_dir)))
@@ -253,7 +254,7 @@ def proposed_model(spark, sf_dir):
 
 @query("monthly_f1", "V14 T13", sql=_MODELS_SQL + _summary_sql(
     "(select * from pr where split = 'test')", "model, month", fixed_labels=True) + """
-select model, month as block, n, round(f1_macro, 6) as f1_macro from summ where n >= 50""")
+select model, month as block, cast(n as bigint) as n, round(f1_macro, 6) as f1_macro from summ where n >= 50""")
 def monthly_f1(spark, sf_dir):
     lp = model_predictions(spark, sf_dir).where(F.col("split") == "test")
     b = M.block_f1(lp, block=F.col("month"), labels=LABELS, by=["model"], min_rows=50)

@@ -49,7 +49,7 @@ def diffs_and_flags(spark, sf_dir):
 
 
 @query("split_labels", "F3 F4", sql=f"""
-select match_id, year(match_date) as year,
+select match_id, cast(year(match_date) as int) as year,
        case when year(match_date) <= {presets.FIXTURE_TRAIN_END} then 'train'
             when year(match_date) between {presets.FIXTURE_VAL_YEARS[0]} and {presets.FIXTURE_VAL_YEARS[1]} then 'val'
             else 'test' end as split
@@ -155,5 +155,5 @@ def design_matrix(spark, sf_dir):
     x = S.design(spark, sf_dir)
     n = F.count(F.lit(1))
     return x.groupBy("split").agg(
-        n.alias("n_rows"), F.lit(len(p.feature_names())).alias("n_features"),
+        n.alias("n_rows"), F.lit(len(p.feature_names())).cast("bigint").alias("n_features"),
         *[F.round(F.count_if(F.col("outcome") == c) / n, 6).alias(f"share_{c}") for c in presets.OUTCOME_ORDER])

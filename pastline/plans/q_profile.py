@@ -78,7 +78,7 @@ def null_buckets(spark, sf_dir):
 
 
 @query("null_totals", "A3 A6", sql=f"""
-select sum({" + ".join(f"case when {c} is null then 1 else 0 end" for c in CONTEST_COLUMNS)}) as null_cells,
+select cast(sum({" + ".join(f"case when {c} is null then 1 else 0 end" for c in CONTEST_COLUMNS)}) as bigint) as null_cells,
        count(*) * {len(CONTEST_COLUMNS)} as cells,
        round(100.0 * sum({" + ".join(f"case when {c} is null then 1 else 0 end" for c in CONTEST_COLUMNS)})
              / (count(*) * {len(CONTEST_COLUMNS)}), 6) as null_cells_pct
