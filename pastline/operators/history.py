@@ -188,25 +188,26 @@ def pair_history(df: DataFrame, *, home: str = "home", away: str = "away",
 
 
 def dense_order(df: DataFrame, *, time: str = "match_date", tie: str = "match_id",
-                out: str = "seq", tie_bucket: int = 1 << 20) -> DataFrame:
+                out: str = "seq", buckets: int = 4096) -> DataFrame:
     """0-based dense row number in ``(time, tie)`` order.
 
-    No window over all rows: rows are numbered inside ``(time, tie bucket)``
-    groups; the offsets come from the count table (one row per distinct
-    time and tie bucket) with prefix sums, first over distinct times, then
-    over buckets inside one time. A hot date is split by tie buckets.
+    No window over all rows and no table of all distinct times in one task:
+    ``seq`` = (rows with an earlier time) + (rows with the same time and a
+    smaller tie). Both counts come from the bucketed prefix counts of
+    :func:`pastline.operators.stats.value_prefix` - the first over the time
+    (as exact epoch microseconds), the second over the tie within each time,
+    so a hot date is split by tie buckets. ``tie`` must be numeric and unique
+    within a time.
     """
-    t, b = "_t", "_tb"
-    d = df.withColumns({t: F.col(time), b: F.floor(F.col(tie) / tie_bucket)})
-    counts = d.groupBy(t, b).agg(F.count(F.lit(1)).alias("_n"))
-    per_time = counts.groupBy(t).agg(F.sum("_n").alias("_nt"))
-    # one row per distinct time: the only un-partitioned window, bounded by the calendar
-    per_time = per_time.select(t, F.coalesce(F.sum("_nt").over(
-        Window.orderBy(t).rowsBetween(*BEFORE)), F.lit(0)).alias("_ot"))
-    within = counts.select(t, b, F.coalesce(F.sum("_n").over(
-        Window.partitionBy(t).orderBy(b).rowsBetween(*BEFORE)), F.lit(0)).alias("_ob"))
-    offsets = within.join(per_time, t).select(t, b, (F.col("_ot") + F.col("_ob")).alias("_off"))
-    numbered = d.withColumn("_r", F.row_number().over(Window.partitionBy(t, b).orderBy(tie)))
-    return (numbered.join(offsets, [t, b])
-            .withColumn(out, (F.col("_off") + F.col("_r") - 1).cast("bigint"))
-            .drop(t, b, "_r", "_off"))
+    from pastline.operators.stats import value_prefix
+    t_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            F.col(time).cast("timestamp_ntz")).cast("double")
+    d = df.withColumns({"_tu": t_us, "_tv": F.col(tie).cast("double"), "_k": F.lit(0)})
+    by_time = value_prefix(d.select("_k", "_tu"), keys=["_k"], value="_tu", buckets=buckets).select(
+        "_tu", F.col("before_n").alias("_bt"))
+    by_tie = value_prefix(d.select("_tu", "_tv"), keys=["_tu"], value="_tv", buckets=buckets,
+                          keys_are_metadata=False).select(
+        "_tu", "_tv", F.col("before_n").alias("_bk"))
+    return (d.join(by_time, "_tu").join(by_tie, ["_tu", "_tv"])
+            .withColumn(out, (F.col("_bt") + F.col("_bk")).cast("bigint"))
+            .drop("_tu", "_tv", "_k", "_bt", "_bk"))

@@ -54,7 +54,7 @@ def point_biserial(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFram
 
 
 def value_prefix(long: DataFrame, *, keys: Sequence[str], value: str, sums: Sequence[str] = (),
-                 buckets: int = 4096) -> DataFrame:
+                 buckets: int = 4096, keys_are_metadata: bool = True) -> DataFrame:
     """Per key and distinct value: ``n`` rows, the sums of ``sums`` columns at
     that value, and the same quantities summed over all strictly smaller
     values (``before_n``, ``before_<s>``).
@@ -63,11 +63,14 @@ def value_prefix(long: DataFrame, *, keys: Sequence[str], value: str, sums: Sequ
     min and max; bucket totals are prefix-summed over a table with one row
     per bucket and the running sums inside a bucket run over distinct values
     only, so neither a hot key nor a hot value lands in one task with all rows.
+
+    ``keys_are_metadata``: the keys are columns, pairs of columns or classes,
+    so the bounds table (one row per key) is bounded and broadcast; pass
+    False when keys come from the data (the join is then left to the planner).
     """
     keys = list(keys)
     bounds = long.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    # one row per key (a column, a pair of columns or a class): bounded, broadcast is safe
-    b = long.join(F.broadcast(bounds), keys)
+    b = long.join(F.broadcast(bounds) if keys_are_metadata else bounds, keys)
     width = F.col("_hi") - F.col("_lo")
     bucket = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / width * buckets),
                                        F.lit(buckets - 1))).otherwise(F.lit(0))
@@ -166,22 +169,29 @@ def width_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
             .withColumns({"lo": F.lit(lo) + F.col("bin") * F.lit(w), "hi": F.lit(lo) + (F.col("bin") + 1) * F.lit(w)}))
 
 
-def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
+def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, reach: float = 8.0) -> DataFrame:
     """ST12: Gaussian kernel density on a grid, Scott's bandwidth
-    (``n^(-1/5)`` times the n-1 deviation). Exact: the sum runs over distinct
-    values weighted by their counts; each distinct value emits its grid
-    contributions with ``explode(sequence)`` and one aggregate sums them."""
+    (``n^(-1/5)`` times the n-1 deviation). The sum runs over distinct values
+    weighted by their counts; each distinct value contributes only to the
+    grid points within ``reach`` bandwidths (the rest is below 1e-14 of its
+    peak), emitted with ``explode(sequence)`` and summed in one aggregate."""
     x = F.col(col).cast("double")
     n, sd, lo, hi = df.agg(F.count(x), F.stddev_samp(x), F.min(x), F.max(x)).first()
     bw = sd * n ** (-1 / 5)
     g0, g1 = lo - cut * bw, hi + cut * bw
     step = (g1 - g0) / (grid - 1)
     vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    pts = vc.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("i"))
+    first = F.greatest(F.ceil((F.col("v") - F.lit(reach * bw) - F.lit(g0)) / F.lit(step)), F.lit(0))
+    last = F.least(F.floor((F.col("v") + F.lit(reach * bw) - F.lit(g0)) / F.lit(step)), F.lit(grid - 1))
+    pts = vc.select("v", "c", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("i"))
     gx = F.lit(g0) + F.col("i") * F.lit(step)
     z = (gx - F.col("v")) / F.lit(bw)
     dens = F.col("c") * F.exp(-0.5 * z * z) / F.lit(n * bw * (2 * 3.141592653589793) ** 0.5)
-    return pts.groupBy("i").agg(F.sum(dens).alias("density")).withColumn("x", F.lit(g0) + F.col("i") * F.lit(step))
+    got = pts.groupBy("i").agg(F.sum(dens).alias("density"))
+    # grid points no value reaches have density 0
+    all_i = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("i"))
+    return (all_i.join(got, "i", "left").select("i", F.coalesce("density", F.lit(0.0)).alias("density"))
+            .withColumn("x", F.lit(g0) + F.col("i") * F.lit(step)))
 
 
 def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:

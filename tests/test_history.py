@@ -94,7 +94,7 @@ def test_pair_history_and_dense_order(spark):
             assert r["h2h_home_winrate"] is None and r["h2h_avg_goals"] is None
         winner = h if hs > as_ else (a if as_ > hs else None)
         hist.setdefault(key, []).append((winner, hs + as_))
-    seq = {r["match_id"]: r["seq"] for r in H.dense_order(df, tie_bucket=16).collect()}
+    seq = {r["match_id"]: r["seq"] for r in H.dense_order(df, buckets=16).collect()}
     order = [m for m, *_ in sorted(rows, key=lambda r: (r[1], r[0]))]
     assert [seq[m] for m in order] == list(range(len(order)))
 
@@ -103,3 +103,9 @@ def test_trailing_plan_has_no_single_partition(spark):
     from pastline.plans.q_history import trailing_mean_5
     plan = trailing_mean_5(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_dense_order_plan_has_no_single_partition(spark):
+    from pastline.plans.q_history import dense_order
+    plan = dense_order(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
