@@ -69,6 +69,21 @@ def side_rows(df: DataFrame, *, id_col: str, time: str, sides: Sequence[tuple[st
               .select(id_col, "s.venue", "s.key", time))
 
 
+def asof_values(contest: DataFrame, ratings: DataFrame, *, id_col: str = "match_id",
+                time: str = "match_date", home: str = "home", away: str = "away",
+                r_key: str = "entity", r_time: str = "rating_date", r_value: str = "rating",
+                r_position: Sequence[str] = (), chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+    """J1 for both sides: one row per contest id with ``home_asof``, ``away_asof``
+    (hash-partitioned by the id, ready for key joins)."""
+    sides = side_rows(contest, id_col=id_col, time=time, sides=[("H", home), ("A", away)])
+    m = asof_join(sides, ratings, left_key="key", left_time=time, right_key=r_key,
+                  right_time=r_time, values=[r_value], right_position=r_position,
+                  chunk_seconds=chunk_seconds)
+    return m.groupBy(id_col).agg(
+        F.max(F.when(F.col("venue") == "H", F.col(f"asof.{r_value}"))).alias("home_asof"),
+        F.max(F.when(F.col("venue") == "A", F.col(f"asof.{r_value}"))).alias("away_asof"))
+
+
 def asof_fill(contest: DataFrame, ratings: DataFrame, *, id_col: str = "match_id",
               time: str = "match_date", home: str = "home", away: str = "away",
               home_value: str = "home_rating", away_value: str = "away_rating",

@@ -134,14 +134,20 @@ def to_contest_rows(long: DataFrame, *, id_col: str = "match_id", venue: str = "
     return long.groupBy(id_col).agg(*aggs)
 
 
-def contest_history(contest: DataFrame, *, k: int = 5, chunk_seconds: int = DAY_SECONDS,
-                    id_col: str = "match_id", time: str = "match_date") -> DataFrame:
-    """U1 + W1..W3 + A18 + J3: contest rows with ``home_/away_`` gf{k}, ga{k},
-    rest_days, win_streak (left join on the contest id)."""
+def history_values(contest: DataFrame, *, k: int = 5, chunk_seconds: int = DAY_SECONDS,
+                   id_col: str = "match_id", time: str = "match_date") -> DataFrame:
+    """U1 + W1..W3 + A18: one row per contest id with ``home_/away_`` gf{k},
+    ga{k}, rest_days, win_streak (hash-partitioned by the id)."""
     long = to_entity_rows(contest, id_col=id_col, time=time)
     feats = entity_history(long, time=time, tie=id_col, k=k, chunk_seconds=chunk_seconds)
-    wide = to_contest_rows(feats, id_col=id_col,
-                           stats=[f"gf{k}", f"ga{k}", "rest_days", "win_streak"])
+    return to_contest_rows(feats, id_col=id_col, stats=[f"gf{k}", f"ga{k}", "rest_days", "win_streak"])
+
+
+def contest_history(contest: DataFrame, *, k: int = 5, chunk_seconds: int = DAY_SECONDS,
+                    id_col: str = "match_id", time: str = "match_date") -> DataFrame:
+    """U1 + W1..W3 + A18 + J3: contest rows with the history columns (left
+    join on the contest id)."""
+    wide = history_values(contest, k=k, chunk_seconds=chunk_seconds, id_col=id_col, time=time)
     return contest.join(wide, id_col, "left")
 
 

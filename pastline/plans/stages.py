@@ -36,17 +36,23 @@ MEDIAN_COLS = ["home_gf5", "away_gf5", "home_ga5", "away_ga5", "home_rest_days",
 
 
 def build_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stages 1-4 as one lazy plan."""
-    c = drop_null_target(contest(spark, sf_dir), ["home_score", "away_score"])          # P1
-    f = A.asof_fill(c, ratings(spark, sf_dir), r_position=RATING_POSITION)              # J1, J2
-    f = f.drop("home_rating_before", "away_rating_before", "home_asof", "away_asof")
-    f = H.contest_history(f, k=presets.ROLL_WINDOW)                                      # U1, W1-W3
-    f = H.pair_history(f)                                                               # W4-W6
-    f = f.withColumns({"is_top_league": member_flag("division", presets.FIXTURE_TOP_GROUPS),  # P6
-                       "outcome": outcome_from_scores("home_score", "away_score")})     # F8
-    f = f.drop("home_score", "away_score")                                              # P8
+    """Stages 1-4. The clean contest table (stage 1) is materialised once;
+    the as-of values, the entity history and the pair history are three
+    independent branches over it, each one row per contest id, met by key
+    joins (the per-id aggregates are already partitioned by the id)."""
+    ensure_checkpoint_dir(spark)
+    c = drop_null_target(contest(spark, sf_dir), ["home_score", "away_score"]).checkpoint()   # P1, S3
+    asof = A.asof_values(c, ratings(spark, sf_dir), r_position=RATING_POSITION)           # J1
+    hist = H.history_values(c, k=presets.ROLL_WINDOW)                                     # U1, W1-W3, A18
+    pair = H.pair_history(c).select("match_id", "h2h_played", "h2h_home_winrate", "h2h_avg_goals")  # W4-W6
+    f = c.join(asof, "match_id", "left").join(hist, "match_id", "left").join(pair, "match_id", "left")  # J3
+    f = f.withColumns({"home_rating": A.fill_from("home_rating", F.col("home_asof")),    # J2
+                       "away_rating": A.fill_from("away_rating", F.col("away_asof")),
+                       "is_top_league": member_flag("division", presets.FIXTURE_TOP_GROUPS),  # P6
+                       "outcome": outcome_from_scores("home_score", "away_score")})      # F8
+    f = f.drop("home_score", "away_score", "home_asof", "away_asof")                     # P8
     return add_split(f, time="match_date", train_end=presets.FIXTURE_TRAIN_END,
-                     val_years=presets.FIXTURE_VAL_YEARS)                               # F3, F4
+                     val_years=presets.FIXTURE_VAL_YEARS)                                # F3, F4
 
 
 _MEMO: dict[tuple[str, str, str], DataFrame] = {}
