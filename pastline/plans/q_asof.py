@@ -67,10 +67,8 @@ def asof_recovery(spark, sf_dir):
         (F.count("home_rating") - F.count("home_rating_before")).alias("home_recovered"),
         (F.count("away_rating") - F.count("away_rating_before")).alias("away_recovered"),
     )
-    r = ratings(spark, sf_dir).agg(F.count(F.lit(1)).alias("rating_rows"),
-                                   F.count_distinct("entity").alias("rating_entities"))
-    # both sides are single-row aggregates; join on a constant key
-    return out.withColumn("_one", F.lit(1)).join(r.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    r = ratings(spark, sf_dir).agg(F.count(F.lit(1)), F.count_distinct("entity")).first()  # two scalars
+    return out.withColumns({"rating_rows": F.lit(r[0]).cast("bigint"), "rating_entities": F.lit(r[1]).cast("bigint")})
 
 
 @query("entity_coverage", "U3", sql="""
@@ -99,9 +97,9 @@ def unrated_entities(spark, sf_dir):
     f = filled(spark, sf_dir)
     rem = f.where(F.col("home_rating").isNull()).select("match_id", F.col("home").alias("entity"))
     absent = A.unrated_rows(rem, ratings(spark, sf_dir), key="entity")
-    a = absent.agg(F.count(F.lit(1)).alias("absent_from_ratings"))
-    t = rem.agg(F.count(F.lit(1)).alias("home_null_after"))
-    out = t.withColumn("_one", F.lit(1)).join(a.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    n_absent = absent.agg(F.count(F.lit(1))).first()[0]  # one scalar
+    out = rem.agg(F.count(F.lit(1)).alias("home_null_after")).withColumn(
+        "absent_from_ratings", F.lit(n_absent).cast("bigint"))
     return out.withColumn("absent_pct", F.round(
         100.0 * F.col("absent_from_ratings") / F.greatest(F.col("home_null_after"), F.lit(1)), 6))
 

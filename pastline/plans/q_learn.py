@@ -97,10 +97,11 @@ from t join f on t.seq < f.b""")
 def fold_assignment(spark, sf_dir):
     x, _, n = learn_data(spark, sf_dir)
     tr = _split(x, "train").select("match_id", "seq")
-    folds = spark.createDataFrame(D.expanding_folds(n, 5), "fold long, a long, b long")
-    # five fold rows: a broadcast of a fixed-size table
-    j = tr.join(F.broadcast(folds), F.col("seq") < F.col("b"))
-    return j.select("match_id", "fold", F.when(F.col("seq") < F.col("a"), "train").otherwise("test").alias("role"))
+    # the fold bounds are five literals: each row explodes into the folds it takes part in
+    folds = F.array(*[F.struct(F.lit(i).cast("bigint").alias("fold"), F.lit(a).alias("a"), F.lit(b).alias("b"))
+                      for i, a, b in D.expanding_folds(n, 5)])
+    j = tr.select("match_id", "seq", F.explode(F.filter(folds, lambda f: F.col("seq") < f["b"])).alias("f"))
+    return j.select("match_id", "f.fold", F.when(F.col("seq") < F.col("f.a"), "train").otherwise("test").alias("role"))
 
 
 _NUM = [f"num__{c}" for c in S.CONTINUOUS]
