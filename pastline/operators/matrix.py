@@ -161,3 +161,23 @@ def pca_fit(df: DataFrame, cols: Sequence[str]) -> PcaFit:
         if vecs[i, j] < 0:
             vecs[i] = -vecs[i]
     return PcaFit(list(cols), m.mean, vals, vecs)
+
+
+def pca_fit_vectors(df: DataFrame, vec_col: str, d: int) -> PcaFit:
+    """M7 for wide inputs: the covariance comes from Spark ML's PCA (a Gramian
+    ``treeAggregate`` over the vector column, no per-pair aggregate
+    expressions); eigenvalues = explained-variance ratios x trace of the
+    n-1 covariance (from the column variances)."""
+    from pyspark.ml.feature import PCA as SparkPCA
+    from pyspark.ml.stat import Summarizer
+    model = SparkPCA(k=d, inputCol=vec_col).fit(df.select(vec_col))
+    stats = df.select(Summarizer.metrics("mean", "variance").summary(F.col(vec_col)).alias("s")).first()["s"]
+    mean = np.array(stats["mean"].toArray())
+    trace = float(np.sum(stats["variance"].toArray()))
+    ratio = np.array(model.explainedVariance.toArray())
+    comps = np.array(model.pc.toArray()).T  # rows = components
+    for i in range(len(comps)):
+        j = int(np.argmax(np.abs(comps[i])))
+        if comps[i, j] < 0:
+            comps[i] = -comps[i]
+    return PcaFit([f"{vec_col}[{i}]" for i in range(d)], mean, ratio * trace, comps)

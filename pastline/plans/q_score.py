@@ -102,3 +102,37 @@ def aligned_predictions(spark, sf_dir):
     if n_ref != n_out:
         raise ValueError(f"predictions do not align with the row reference: {n_out} vs {n_ref}")
     return out
+
+
+@query("label_weights", "M10 A7", sql="""
+select quality as label, count(*) as n,
+       round((select count(*) from labels) / (2.0 * count(*)), 6) as weight
+from labels group by quality""")
+def label_weights(spark, sf_dir):
+    """Balanced weights ``n / (k n_c)`` on an unbalanced 0/1 label table."""
+    from pastline.learners.data import balanced_weights
+    from pastline.sources.tables import read_table
+    lab = read_table(spark, sf_dir, "labels", ["quality"])
+    counts = {r[0]: r[1] for r in lab.groupBy("quality").count().collect()}  # one row per class
+    w = balanced_weights(counts)
+    return spark.createDataFrame([(int(c), int(counts[c]), round(w[c], 6)) for c in counts],
+                                 "label int, n long, weight double")
+
+
+@query("embedding_pca", "M7 M9")
+def embedding_pca(spark, sf_dir):
+    """PCA of the embedding vectors: eigenvalues, variance ratio, cumulative,
+    k for 95 % and the elbow k (one covariance aggregate, d x d on the driver)."""
+    import numpy as np
+    from pastline.operators import matrix as MX
+    from pastline.sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    from pyspark.ml.functions import array_to_vector
+    d = emb.select(F.size("embedding")).first()[0]
+    vec = emb.select(array_to_vector(F.transform("embedding", lambda v: v.cast("double"))).alias("v"))
+    fit = MX.pca_fit_vectors(vec, "v", d)
+    cum = np.cumsum(fit.ratio)
+    k95, kel = fit.k_for(0.95), fit.k_elbow()
+    rows = [(i + 1, float(fit.eigenvalues[i]), float(fit.ratio[i]), float(cum[i]), k95, kel) for i in range(d)]
+    return spark.createDataFrame(rows, "component int, eigenvalue double, ratio double, cumulative double, "
+                                       "k95 int, k_elbow int")
