@@ -69,7 +69,8 @@ def stratified_fold_col(df: DataFrame, *, label: str, seq: str, k: int) -> tuple
     counts = dict(sorted(class_counts(df, label).items()))
     start, alloc = 0, {}
     for c, n_c in counts.items():
-        sizes = [sum(1 for p in range(start, start + n_c) if p % k == i) for i in range(k)]
+        # how many positions p in [start, start + n_c) have p % k == i (closed form)
+        sizes = [(start + n_c - 1 - i) // k - (start - 1 - i) // k for i in range(k)]
         alloc[c] = sizes
         start += n_c
     pos = value_prefix(df.select(F.col(label).alias("_c"), F.col(seq).cast("double").alias("_s")),
@@ -108,3 +109,10 @@ def stratified_sample(df: DataFrame, n: int, *, key: str, label: str = LABEL, se
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def train_tail_split(train: DataFrame, *, seq: str, n: int, tail: float = 0.1) -> tuple[DataFrame, DataFrame]:
+    """T19 switch: stop boosting on the last ``tail`` share of the train rows
+    (chronological) instead of the validation split that also picks models."""
+    cut = int(n * (1 - tail))
+    return train.where(F.col(seq) < cut), train.where(F.col(seq) >= cut)
