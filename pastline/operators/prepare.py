@@ -52,7 +52,7 @@ class Prepared:
                             for x in (k, float(v))]) if any(
             v is not None for v in self.group_medians.values()) else None
         for c in self.rating_cols:
-            by_group = F.element_at(gm, F.col(self.group_col)) if gm is not None else F.lit(None)
+            by_group = F.element_at(gm, F.col(self.group_col).cast("string")) if gm is not None else F.lit(None)
             out[c] = F.coalesce(F.col(c), by_group, F.lit(self.global_median).cast("double"))
         for c, v in self.constants.items():
             out[c] = F.coalesce(F.col(c), F.lit(float(v)))
@@ -104,22 +104,29 @@ class Preparer:
         tr = df.where(F.col(self.split_col) == self.train_value)
         pooled = tr.select(self.group_col, F.explode(F.array(*[F.col(c) for c in self.rating_cols])).alias("_e"))
         if self.approx:
-            per_group = pooled.groupBy(self.group_col).agg(_median(F.col("_e"), True).alias("_m"))
+            per_group = pooled.groupBy(F.col(self.group_col).cast("string")).agg(_median(F.col("_e"), True))
             groups = {r[0]: r[1] for r in per_group.collect()}  # one row per category
             glob = pooled.agg(_median(F.col("_e"), True)).first()[0]
             meds = (tr.agg(*[_median(F.col(c), True).alias(c) for c in self.median_cols]).first().asDict()
                     if self.median_cols else {})
             return groups, glob, meds
-        # exact medians, no group's values in one aggregation buffer
+        # exact medians in one pass (no group's values in one aggregation buffer):
+        # pooled ratings per group, pooled ratings overall, and each median column
         from pastline.operators.stats import exact_percentiles
-        groups = {r[self.group_col]: r["value"] for r in
-                  exact_percentiles(pooled, ["_e"], [0.5], by=[self.group_col]).collect()}  # one per category
-        g = exact_percentiles(pooled, ["_e"], [0.5]).collect()
-        glob = g[0]["value"] if g else None
-        meds = {c: None for c in self.median_cols}
+        g = F.col(self.group_col).cast("string")
+        long = pooled.select(F.explode(F.array(
+            F.struct(F.lit("group").alias("_kind"), g.alias("_g"), F.col("_e").alias("_v")),
+            F.struct(F.lit("all").alias("_kind"), F.lit("").alias("_g"), F.col("_e").alias("_v")))).alias("s"))
         if self.median_cols:
-            meds.update({r["column_name"]: r["value"]
-                         for r in exact_percentiles(tr, self.median_cols, [0.5]).collect()})
+            long = long.unionByName(tr.select(F.explode(F.array(*[
+                F.struct(F.lit("col").alias("_kind"), F.lit(c).alias("_g"), F.col(c).cast("double").alias("_v"))
+                for c in self.median_cols])).alias("s")))
+        rows = exact_percentiles(long.select("s.*"), ["_v"], [0.5], by=["_kind", "_g"]).collect()
+        # one row per category + one + one per median column
+        groups = {r["_g"]: r["value"] for r in rows if r["_kind"] == "group"}
+        glob = next((r["value"] for r in rows if r["_kind"] == "all"), None)
+        meds = {c: None for c in self.median_cols}
+        meds.update({r["_g"]: r["value"] for r in rows if r["_kind"] == "col"})
         return groups, glob, meds
 
     def fit(self, df: DataFrame) -> Prepared:

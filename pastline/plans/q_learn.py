@@ -50,9 +50,12 @@ def _row(spark, name: str, m: dict, **extra) -> DataFrame:
 
 
 def _fit_eval(spark, sf_dir, name, fit, **extra):
+    import time
     x, names, _ = learn_data(spark, sf_dir)
+    t0 = time.perf_counter()
     model = fit(_split(x, "train"))
-    return _row(spark, name, V.evaluate(model, _split(x, "val")), **extra)
+    secs = time.perf_counter() - t0
+    return _row(spark, name, {**V.evaluate(model, _split(x, "val")), "fit_seconds": secs}, **extra)
 
 
 _LABELED = S.prepare_sql() + """
@@ -182,9 +185,13 @@ def calibrated(spark, sf_dir):
 def _boost_query(preset: str):
     def q(spark, sf_dir):
         x, _, _ = learn_data(spark, sf_dir)
+        import time
         kw = L.BOOST_PRESETS[preset]
+        t0 = time.perf_counter()
         m, kept = L.fit_boost(_split(x, "train"), _split(x, "val"), rounds=12, early_stop=5, **kw)
-        return _row(spark, f"boost_{preset}", V.evaluate(m, _split(x, "val")), rounds_kept=kept)
+        secs = time.perf_counter() - t0
+        return _row(spark, f"boost_{preset}", {**V.evaluate(m, _split(x, "val")), "fit_seconds": secs},
+                    rounds_kept=kept)
     return q
 
 
