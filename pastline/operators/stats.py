@@ -213,7 +213,7 @@ def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *, by: Sequence[str] = (),
-                      buckets: int = 4096) -> DataFrame:
+                      buckets: int = 4096, by_is_categorical: bool = True) -> DataFrame:
     """Exact percentiles with linear interpolation (as ``percentile`` /
     ``quantile_cont``), without holding a group's values in one task.
 
@@ -222,14 +222,17 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
     ``ceil`` of ``(n-1)p`` are looked up as the distinct value whose
     cumulative range covers them. The targets table has one row per
     (group, column, p) - bounded by the schema and the group column - and is
-    broadcast. Returns ``by..., column_name, p, value``.
+    broadcast when ``by`` is categorical (a few values: classes, splits,
+    categories); pass ``by_is_categorical=False`` for a wide group key and
+    the planner decides. Returns ``by..., column_name, p, value``.
     """
     by = list(by)
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select(*by, "s.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
     keys = [*by, "column_name"]
-    vp = value_prefix(long, keys=keys, value="v", buckets=buckets)
+    small = by_is_categorical or not by
+    vp = value_prefix(long, keys=keys, value="v", buckets=buckets, keys_are_metadata=small)
     n = vp.groupBy(*keys).agg(F.sum("n").alias("_N"))
     tg = n.select(*keys, "_N", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
     h = (F.col("_N") - 1) * F.col("p")
@@ -237,7 +240,7 @@ def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]
         F.struct(F.lit(0).alias("side"), F.floor(h).alias("r")),
         F.struct(F.lit(1).alias("side"), F.ceil(h).alias("r")))).alias("t")).select(*keys, "p", "_h", "t.*")
     # one row per (group, column, p, side): bounded by the number of groups x columns x probabilities
-    hit = vp.join(F.broadcast(tg), keys).where(
+    hit = vp.join(F.broadcast(tg) if small else tg, keys).where(
         (F.col("r") >= F.col("before_n")) & (F.col("r") < F.col("before_n") + F.col("n")))
     g = hit.groupBy(*keys, "p", "_h").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_lo"),
                                           F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_hi"))
