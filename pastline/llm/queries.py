@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pastline.llm import exact_dedup, quality, secrets, sharding
+from pastline.llm import bpe, exact_dedup, packing, quality, secrets, sharding
 from pastline.llm.common import source_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,8 @@ def _documents(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Bui
 
 QUERIES: dict[str, Builder] = {
     "op2_quality_rules": quality.quality_query,
+    "op3_byte_bpe": _documents(lambda d: bpe.bpe_documents(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), "doc_id", "text"),
+    "op4_packing": _documents(lambda d: packing.pack_documents(d, public_tokenizers.path("word_bpe_49k.json")), "doc_id", "text"),
     "op5_exact_dedup": _documents(exact_dedup.exact_dedup, "doc_id", "text"),
     "op6_secret_scans": secrets.secrets_query,
     "op8_sharding": _documents(sharding.interleaved_shards, "doc_id", "text", "source"),
