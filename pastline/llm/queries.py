@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pastline.llm import bpe, exact_dedup, packing, quality, secrets, sharding
+from pastline.llm import bpe, exact_dedup, minhash, packing, quality, secrets, sharding
 from pastline.llm.common import source_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,7 @@ QUERIES: dict[str, Builder] = {
     "op5_exact_dedup": _documents(exact_dedup.exact_dedup, "doc_id", "text"),
     "op6_secret_scans": secrets.secrets_query,
     "op8_sharding": _documents(sharding.interleaved_shards, "doc_id", "text", "source"),
+    "op10_minhash_near_dedup": _documents(lambda d: minhash.near_dedup(d, words=2), "doc_id", "text"),
 }
 SQL: dict[str, str] = {
     "op2_quality_rules": quality.SQL,
