@@ -20,9 +20,12 @@ is bounded by ``shard_tokens`` and a lost task is simply run again.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,70 +34,80 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 WINDOW = 2048
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
 #: Distinct words kept per Python worker; emptied between shards when it is full.
 CACHE_WORDS = 1 << 20
-#: Characters for which the tokenizer's normalisation is lower-casing: ASCII and Latin letters to U+024F.
-PLAIN = regex.compile(r"[\t-\r\x20-\x7e\xa1-ɏ]*")
+#: Characters outside ASCII and Latin letters to U+017F, within which the tokenizer's normalisation is lower-casing.
+OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa1-ſ]")
 #: The pattern of the tokenizer file's pre-tokenizer (fixed value).
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: The same for lower-cased plain texts, their letters and numbers written out; no alternative starts like another.
+_LETTERS, _NUMBERS = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾"
+PLAIN_WORDS = re.compile(rf"[{_LETTERS}]+|[{_NUMBERS}]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{_LETTERS}{_NUMBERS}]+")
 
 
-class WordCodes(dict):
+class WordCodes:
     """Word -> number; ``code[number]`` holds its ids as 16-bit integers."""
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.code: list[bytes] = []
-        self.fresh: list[str] = []
+        #: For words that are normalised and split already.
+        self.by_word = Tokenizer.from_file(path)
+        self.by_word.encode_special_tokens = True
+        self.by_word.normalizer = None
+        self.by_word.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         #: By id: whether a word ends with this token.
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.forget()
 
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        self.fresh.append(word)
-        return n
+    def forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.code: list[bytes] = []
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, ended by ``END_ID``, and its word numbers."""
-        numbers, whole = [], {}
+        numbers, whole, number = [], {}, self.number.__getitem__
         for i, text in enumerate(texts):
             text = text or ""
-            if PLAIN.fullmatch(text):
-                text = text.lower()
+            if OTHER.search(text) is None:
+                found = PLAIN_WORDS.findall(text.lower())
             else:
                 whole[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids + [END_ID], "<u2")
-                text = self.tokenizer.normalizer.normalize_str(text)
-            numbers.append(list(map(self.__getitem__, WORDS.findall(text))))
+                found = WORDS.findall(self.tokenizer.normalizer.normalize_str(text))
+            numbers.append(list(map(number, found)))
         self._learn()
         end = np.array([END_ID], "<u2").tobytes()
         return [(whole[i] if i in whole else np.frombuffer(b"".join(map(self.code.__getitem__, n)) + end, "<u2"), np.array(n, np.int32))
                 for i, n in enumerate(numbers)]
 
     def _learn(self, together: int = 512) -> None:
-        """Encode the words met for the first time, many to a call; each ends with its only word-end token."""
-        fresh, self.fresh = self.fresh, []
-        lots = [" ".join(fresh[i:i + together]) for i in range(0, len(fresh), together)]
-        for e in self.tokenizer.encode_batch_fast(lots, add_special_tokens=False):
+        """Encode the words met for the first time, many to a call, and cut after the word-end tokens.
+
+        Where a word lacks a word-end token of its own (bytes that the
+        vocabulary has not), its lot is encoded word by word.
+        """
+        fresh = list(islice(reversed(self.number), len(self.number) - len(self.code)))[::-1]
+        lots = [fresh[i:i + together] for i in range(0, len(fresh), together)]
+        for lot, e in zip(lots, self.by_word.encode_batch_fast([" ".join(lot) for lot in lots], add_special_tokens=False)):
             ids = np.array(e.ids, "<u2")
             cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
-            data = ids.tobytes()
-            self.code += [data[a:b] for a, b in zip([0, *cuts], cuts)]
-        if len(self.code) != len(self):
-            raise ValueError("a word did not end with exactly one word-end token")
+            if len(cuts) == len(lot) and cuts[-1] == 2 * len(ids):
+                data = ids.tobytes()
+                self.code += [data[a:b] for a, b in zip([0, *cuts], cuts)]
+            else:
+                self.code += [np.array(one.ids, "<u2").tobytes() for one in self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)]
 
     def trim(self) -> None:
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.code = []
+        if len(self.code) > CACHE_WORDS:
+            self.forget()
 
 
 @lru_cache(maxsize=2)
@@ -108,30 +121,29 @@ class Bm25:
 
     def __init__(self, docs: list[np.ndarray]):
         self.n = len(docs)
-        terms, counts, owner = [], [], []
-        for i, words in enumerate(docs):
-            t, c = np.unique(words, return_counts=True)
-            terms.append(t)
-            counts.append(c)
-            owner.append(np.full(len(t), i, np.int32))
-        term, tf, doc = np.concatenate(terms), np.concatenate(counts).astype(np.float32), np.concatenate(owner)
+        found = [np.unique(words, return_counts=True) for words in docs]
+        per_doc = [len(t) for t, _ in found]
+        doc = np.repeat(np.arange(self.n), per_doc)
+        tf = np.concatenate([c for _, c in found]).astype(np.float64)
+        _, term, df = np.unique(np.concatenate([t for t, _ in found]), return_inverse=True, return_counts=True)
         order = np.argsort(term, kind="stable")
-        term, tf, self.doc = term[order], tf[order], doc[order]
-        self.terms, self.start = np.unique(term, return_index=True)
-        df = np.diff(np.append(self.start, len(term)))
-        size = np.array([len(d) for d in docs], np.float32)
+        size = np.array([len(d) for d in docs], np.float64)
         norm = K1 * (1 - B + B * size / max(1.0, float(size.mean())))
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.weight = np.repeat(idf, df) * tf * (K1 + 1) / (tf + norm[self.doc])
-        self.stop = self.start + df
-        self.of = terms
+        idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
+        self.doc = doc[order]
+        self.weight = (idf[term] * tf * (K1 + 1) / (tf + norm[doc]))[order]
+        self.stop = np.cumsum(df)
+        self.start = self.stop - df
+        # a document's words; one that no other document has leads nowhere
+        shared = df[term] > 1
+        self.of = np.split(term[shared], np.cumsum(np.bincount(doc[shared], minlength=self.n))[:-1])
 
     def scores(self, doc: int) -> np.ndarray:
         """BM25 of every document of the shard for the words of one of them."""
-        at = np.searchsorted(self.terms, self.of[doc])
-        lists = [slice(a, b) for a, b in zip(self.start[at].tolist(), self.stop[at].tolist()) if b - a > 1]
-        if not lists:
+        at = self.of[doc]
+        if not len(at):
             return np.zeros(self.n)
+        lists = [slice(a, b) for a, b in zip(self.start[at].tolist(), self.stop[at].tolist())]
         return np.bincount(np.concatenate([self.doc[s] for s in lists]),
                            np.concatenate([self.weight[s] for s in lists]), minlength=self.n)
 
@@ -211,8 +223,8 @@ def pack_documents(docs: DataFrame, tokenizer_file: str, window: int = WINDOW, s
                                               ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
                 for doc_id, (ids, numbers) in zip(part.column(0).to_pylist(), words.encode(part.column(1).to_pylist())):
                     held.append((doc_id, ids, numbers))
                     tokens += len(ids)
