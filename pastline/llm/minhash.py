@@ -10,13 +10,12 @@ probability 5e-6. Every link is confirmed on the full sets.
 
 Equal sets are one node from the start, whatever the number of copies.
 Inside a band's bucket no pairs are made of a group: the nodes are compared
-with a hub (the smallest), confirmed ones join its component, and only a
-bucket whose nodes are still in different components goes into another
-round, with further hubs. A hub that was compared with its whole bucket
-leaves it; a bucket ends when its nodes are in one component. So a large
-group of near copies costs a few comparisons per node, and no link between
-different components is left untested. Small leftovers (``small`` nodes at
-most) are compared in full at once.
+with a hub (the smallest) and confirmed ones join its component, so a large
+group of near copies costs a few comparisons per node. Buckets whose nodes
+are then still in different components are joined to groups where they
+overlap, and in each group the nodes outside its largest component are
+compared with all its nodes, in blocks. So no link between different
+components is left untested, and no pair is emitted but links.
 """
 
 from __future__ import annotations
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from pastline.llm.common import stored
 
 PERMS, ROWS = 120, 6
-SMALL, HUBS, BLOCK = 16, 4, 64
+BLOCK, SQUARE = 64, 256
 #: Distinct words whose hash a Python worker keeps.
 CACHE_WORDS = 1 << 20
 
@@ -175,6 +174,75 @@ def components(edges: DataFrame) -> DataFrame:
                 both.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
 
 
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of two lists of sorted sets, ``width`` common values at a time."""
+    def cells(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        flat, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(common, flat), len(common) - 1)
+        hit = common[at] == flat
+        order = np.argsort(at[hit], kind="stable")
+        return row[hit][order], at[hit][order]
+
+    out = np.zeros((len(left), len(right)), np.float32)
+    common = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    if not len(common):
+        return out
+    (row_l, at_l), (row_r, at_r) = cells(left, common), cells(right, common)
+    for lo in range(0, len(common), width):
+        part = []
+        for row, at, n in ((row_l, at_l, len(left)), (row_r, at_r, len(right))):
+            i, j = np.searchsorted(at, [lo, lo + width])
+            m = np.zeros((n, width), np.float32)
+            m[row[i:j], at[i:j] - lo] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    return out
+
+
+def links_between(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between nodes of different components in one group; ``nodes`` has (node, comp, grp).
+
+    The nodes outside a group's largest component are a query set that is
+    compared with the whole group, in blocks of ``SQUARE`` by ``SQUARE`` nodes;
+    nothing is emitted but links.
+    """
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t.as_py(), words).tobytes() for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    sets = texts.join(nodes.select("node"), "node").select("node", "text").mapInArrow(listed, "node binary, shingles binary")
+    sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("n")).groupBy("grp").agg(
+        F.sum("n").alias("members"), F.max(F.struct("n", "comp")).getField("comp").alias("main"))
+    all_ = stored(sets.join(nodes, "node").join(sizes, "grp"), "open-sets")
+    asking = all_.filter("comp <> main")
+    asked = asking.groupBy("grp").agg(F.count("*").alias("asking"))
+    blocks = lambda n: F.ceil(F.col(n) / SQUARE).cast("int")
+    mine = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    left = asking.join(asked, "grp").select("grp", mine("asking").alias("q"), F.explode(F.sequence(F.lit(0), blocks("members") - 1)).alias("m"), "node", "comp", "shingles")
+    right = all_.join(asked, "grp").select(F.col("grp").alias("of"), F.explode(F.sequence(F.lit(0), blocks("asking") - 1)).alias("oq"), mine("members").alias("om"),
+                                           F.col("node").alias("other"), F.col("comp").alias("other_comp"), F.col("shingles").alias("other_shingles"))
+
+    def check(ask: pa.Table, members: pa.Table) -> pa.Table:
+        a, b = [], []
+        if ask.num_rows and members.num_rows:
+            l, r = ([np.frombuffer(x.as_py(), np.uint64) for x in t.column(c)] for t, c in ((ask, "shingles"), (members, "other_shingles")))
+            both = overlaps(l, r).astype(np.int64)
+            total = np.array([len(x) for x in l])[:, None] + np.array([len(x) for x in r])[None, :]
+            number = {c: i for i, c in enumerate(set(ask.column("comp").to_pylist()) | set(members.column("other_comp").to_pylist()))}
+            c, d = (np.array([number[x] for x in t.column(n).to_pylist()]) for t, n in ((ask, "comp"), (members, "other_comp")))
+            linked = (both * (100 + percent) >= percent * total) & (c[:, None] != d[None, :])
+            i, j = np.nonzero(linked)
+            _, once = np.unique(i * len(number) + d[j], return_index=True)  # one link to a component is enough
+            ids, others = ask.column("node").to_pylist(), members.column("other").to_pylist()
+            a, b = [ids[x] for x in i[once]], [others[x] for x in j[once]]
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return left.groupBy("grp", "q", "m").cogroup(right.groupBy("of", "oq", "om")).applyInArrow(check, "a binary, b binary")
+
+
 def near_links(signed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, comp) of the nodes that have a link; ``signed`` is stored output of ``signatures``."""
     nodes = signed.filter("node is not null").groupBy("node").agg(F.first("bands").alias("bands"))
@@ -186,21 +254,16 @@ def near_links(signed: DataFrame, docs: DataFrame, words: int, percent: int) ->
     texts = stored(docs.join(wanted, "doc_id").select("node", "text"), "candidate-texts")
 
     pairs = live.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    live = live.filter("node <> hub").select("band", "node")
     comp = components(confirmed(pairs, texts, words, percent))
-    while True:
-        known = live.join(comp, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
-        open_ = known.groupBy("band").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        known = stored(known.join(open_.select("band", "n"), "band"), "band-open")
-        if known.isEmpty():
-            return comp
-        few, many = known.filter(F.col("n") <= SMALL), known.filter(F.col("n") > SMALL)
-        hubs = many.groupBy("band", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("h")).agg(F.min("node").alias("a"), F.min_by("comp", "node").alias("comp_a")).drop("h")
-        pairs = few.alias("x").join(few.alias("y"), F.expr("x.band = y.band and x.node < y.node and x.comp <> y.comp")).selectExpr("x.node as a", "y.node as b").union(
-            hubs.join(many, "band").filter("a <> node and comp_a <> comp").selectExpr("least(a, node) as a", "greatest(a, node) as b")).distinct()
-        live = many.select("band", "node").join(hubs.select("band", F.col("a").alias("node")), ["band", "node"], "left_anti")
-        found = confirmed(stored(pairs, "pairs"), texts, words, percent)
-        comp = components(comp.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(found))
+    # buckets whose nodes are still apart: each such node with the first of its bucket, hence groups of buckets
+    known = live.join(comp, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    apart = live.filter("node <> hub").select("band", "node").join(comp, "node", "left").groupBy("band").agg(
+        F.min(F.coalesce("comp", "node")).alias("lo"), F.max(F.coalesce("comp", "node")).alias("hi"), F.min("node").alias("head")).filter("lo <> hi")
+    known = stored(known.join(apart.select("band", "head"), "band"), "open-buckets")
+    grp = components(known.select(F.col("head").alias("a"), F.col("node").alias("b")))
+    nodes = stored(known.select("node", "comp").distinct().join(grp.select("node", F.col("comp").alias("grp")), "node"), "open-nodes")
+    more = links_between(nodes, texts, words, percent)
+    return components(comp.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(more))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, perms: int = PERMS, rows: int = ROWS) -> DataFrame:
