@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pastline.llm import bpe, exact_dedup, minhash, packing, quality, secrets, sharding
+from pastline.llm import bpe, exact_dedup, langid, minhash, packing, pii, quality, secrets, sharding, toxicity
 from pastline.llm.common import source_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -18,12 +18,15 @@ def _documents(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Bui
 
 
 QUERIES: dict[str, Builder] = {
+    "op1_toxicity": toxicity.toxicity_query,
     "op2_quality_rules": quality.quality_query,
     "op3_byte_bpe": _documents(lambda d: bpe.bpe_documents(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), "doc_id", "text"),
     "op4_packing": _documents(lambda d: packing.pack_documents(d, public_tokenizers.path("word_bpe_49k.json")), "doc_id", "text"),
     "op5_exact_dedup": _documents(exact_dedup.exact_dedup, "doc_id", "text"),
     "op6_secret_scans": secrets.secrets_query,
+    "op7_language_id": _documents(langid.identify_language, "doc_id", "text", "lang"),
     "op8_sharding": _documents(sharding.interleaved_shards, "doc_id", "text", "source"),
+    "op9_pii_surrogates": _documents(pii.surrogate_pii, "doc_id", "text"),
     "op10_minhash_near_dedup": _documents(lambda d: minhash.near_dedup(d, words=2), "doc_id", "text"),
 }
 SQL: dict[str, str] = {
