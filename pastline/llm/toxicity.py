@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pastline.llm.common import held_out, source_table, stored
 
 PER_CLASS, EXAMPLES, VOCABULARY = 4096, 1024, 4096
-K, BLOCK, CHI2, LIFT = 15, 32, 30.0, 2.0
+K, BLOCK, CHI2, LIFT = 15, 32, 30.0, 25.0
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
