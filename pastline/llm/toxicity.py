@@ -1,9 +1,9 @@
 """Toxicity from the nearest labelled examples.
 
 Documents are TF-IDF vectors over a vocabulary of discriminating words; the
-``K`` examples with the highest cosine vote on a document, each with a weight
-that grows as its distance shrinks. The vote becomes a probability by an
-isotonic fit on labelled rows that are not examples.
+``K`` examples with the highest cosine vote on a document, each with its
+cosine as weight. The vote becomes a probability by an isotonic fit on
+labelled rows that are not examples.
 
 What is bounded (documented parameters): at most ``PER_CLASS`` labelled rows
 of each class train the classifier, ``EXAMPLES`` of them per class are the
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,7 +58,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple
 
 
 def vocabulary(sample: DataFrame, size: int) -> list[str]:
-    """The words that tell the classes apart: document frequencies by class, chi-square and lift."""
+    """The words that tell the classes apart: document frequencies by class, chi-square and lift.
+
+    Of copies and near copies one counts, else the rare words of a copied text
+    would all look telling: rows are thinned to one for each class and
+    smallest hash of a long word.
+    """
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [set(_words(t)) for t in batch.column(1).to_pylist()]
+            least = [min((xxhash.xxh3_64_intdigest(w) for w in [w for w in x if len(w) >= 8] or x), default=0) >> 1 for x in told]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(least, pa.int64())], ["toxic", "text", "sketch"])
+
+    sample = stored(sample.select(F.col("toxic").cast("int"), "text").mapInArrow(sketched, "toxic int, text string, sketch long")
+                    .dropDuplicates(["toxic", "sketch"]), "toxic-thinned")
+
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -65,7 +80,7 @@ def vocabulary(sample: DataFrame, size: int) -> list[str]:
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([toxic] * len(words), pa.int32())], ["word", "toxic"])
 
     n1, n0 = (F.lit(float(x or 0)) for x in sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-    seen = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(distinct_words, "word string, toxic int")
+    seen = sample.select("toxic", "text").mapInArrow(distinct_words, "word string, toxic int")
     a, b = F.col("a"), F.col("b")  # documents of either class with the word
     n = n1 + n0
     chi2 = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / ((a + b) * (n - a - b) * n1 * n0)
@@ -136,10 +151,9 @@ class BlockMaxIndex:
             place, score = place[best], score[best]
         return place, score
 
-    def vote(self, place: np.ndarray, score: np.ndarray) -> float:
-        """Share of toxic among the neighbours, weighted by closeness."""
-        w = score.astype(np.float64) / (1.05 - np.minimum(score, 1.0))
-        return float((w * self.toxic[place]).sum() / w.sum())
+    def vote(self, place: np.ndarray, score: np.ndarray, k: int = K) -> float:
+        """Closeness to toxic less closeness to other neighbours, -1 to 1; far or few neighbours say little."""
+        return float((score.astype(np.float64) * (2 * self.toxic[place] - 1)).sum()) / k
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
