@@ -52,4 +52,24 @@ def held_out(doc_id: Column) -> Column:
 
 def source_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     from pastline.sources.tables import read_table
-    return read_table(spark, sf_dir, name, list(columns))
+    return read_table(spark, sf_dir, name, list(columns) or None)
+
+
+def text_key() -> Column:
+    """64-bit hash of the text, which with doc_id tells rows apart."""
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a true ``kept`` in ``verdicts`` (doc_id, text_key, kept); all columns stay.
+
+    Rows that repeat both doc_id and text are kept once where some of them
+    are dropped and some kept. The dropped keys are the small side, and the
+    join is planned by their stored size.
+    """
+    told = verdicts.groupBy("doc_id", "text_key").agg(F.min("kept").alias("all_kept"), F.max("kept").alias("some_kept"))
+    gone = stored(told.filter("not all_kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "some_kept"), "dropped")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key"))
+    rest = docs.join(gone.drop("some_kept"), same, "left_anti")
+    part = docs.join(gone.filter("some_kept").drop("some_kept"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.unionByName(part)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pastline.llm.common import lower_ascii, stored
+from pastline.llm.common import lower_ascii, stored, text_key
 
 KEY = ["sha", "n_bytes", "check"]
 FAN_BITS = 4
@@ -27,8 +27,8 @@ FAN_BITS = 4
 def digest_runs(docs: DataFrame) -> DataFrame:
     """One row per document: its run, its digest key, its identifier and a row number."""
     text = F.encode(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), "UTF-8")
-    return docs.select("doc_id", text.alias("body")).select(
-        "doc_id", F.monotonically_increasing_id().alias("row_id"),
+    return docs.select("doc_id", text_key().alias("text_key"), text.alias("body")).select(
+        "doc_id", "text_key", F.monotonically_increasing_id().alias("row_id"),
         F.spark_partition_id().alias("run"), F.unhex(F.sha2("body", 256)).alias("sha"),
         F.octet_length("body").alias("n_bytes"), F.xxhash64("body").alias("check"))
 
@@ -49,6 +49,11 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     Of repeated rows with one doc_id, exactly one is marked kept. An empty
     table gives an empty result.
     """
+    return merged(docs).drop("text_key")
+
+
+def merged(docs: DataFrame) -> DataFrame:
+    """``exact_dedup`` with the key that tells rows apart."""
     leaf = stored(digest_runs(docs), "digest-runs")
     last = leaf.agg(F.max("run")).first()[0] or 0
     level = leaf.select("run", *KEY, F.struct("doc_id", "row_id").alias("best"), F.lit(1).cast("long").alias("n"))
@@ -65,7 +70,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     return leaf.join(answer, ["run", *KEY]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("best.row_id") == F.col("row_id")).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        F.lower(F.hex("sha")).alias("text_sha256"), "text_key")
 
 
 SQL = """

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pastline.llm.common import stored
+from pastline.llm.common import stored, text_key
 
 PERMS, ROWS = 120, 6
 BLOCK, SQUARE = 64, 256
@@ -97,25 +97,25 @@ class MinMax:
         return np.stack(keys, axis=1)
 
 
-SIGNED = "doc_id long, node binary, n_shingles long, bands array<long>"
+SIGNED = "doc_id long, text_key long, node binary, n_shingles long, bands array<long>"
 
 
 def signatures(docs: DataFrame, words: int, perms: int, rows: int) -> DataFrame:
-    """(doc_id, node, n_shingles, bands); ``node`` is the 128-bit hash of the set, null for an empty one."""
+    """(doc_id, text_key, node, n_shingles, bands); ``node`` is the 128-bit hash of the set, null for an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minmax = MinMax(perms, rows)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [shingle_set(t.as_py(), words) for t in part.column(1)]
+                sets = [shingle_set(t.as_py(), words) for t in part.column(2)]
                 full = [s for s in sets if len(s)]
                 keys = iter(minmax.bands(full).view(np.int64) if full else [])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                    [part.column(0), part.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()), pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                    ["doc_id", "node", "n_shingles", "bands"])
+                    ["doc_id", "text_key", "node", "n_shingles", "bands"])
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, SIGNED)
+    return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(run, SIGNED)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -250,8 +250,10 @@ def near_links(signed: DataFrame, docs: DataFrame, words: int, percent: int) ->
     shared = in_band.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("hub")).filter("n > 1")
     live = stored(in_band.join(shared.drop("n"), "band"), "band-members")
     # one text of every node in a shared band
-    wanted = signed.join(live.select("node").distinct(), "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = stored(docs.join(wanted, "doc_id").select("node", "text"), "candidate-texts")
+    wanted = signed.join(live.select("node").distinct(), "node").groupBy("node").agg(F.min(F.struct("text_key", "doc_id")).alias("x"))
+    wanted = wanted.select("node", F.col("x.doc_id").alias("__id"), F.col("x.text_key").alias("__key"))
+    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key")))
+    texts = stored(found.groupBy("node").agg(F.first("text").alias("text")), "candidate-texts")
 
     pairs = live.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     comp = components(confirmed(pairs, texts, words, percent))
@@ -274,14 +276,19 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, perms: int =
     doc_id = component_id. Texts without words, and null texts, have an empty
     set, link with nothing and are kept. A row without doc_id is kept and has
     no component id unless a linked row has one. Equal sets (hence equal
-    texts) are always linked. Rows that repeat a doc_id with different texts
-    share that id's texts as candidates. An empty table gives an empty result.
+    texts) are always linked. Rows that repeat a doc_id are linked each by its
+    own text. An empty table gives an empty result.
     """
+    return grouped(docs, words, percent, perms, rows).drop("text_key")
+
+
+def grouped(docs: DataFrame, words: int = 5, percent: int = 80, perms: int = PERMS, rows: int = ROWS) -> DataFrame:
+    """``near_dedup`` with the key that tells rows apart."""
     docs = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     signed = stored(signatures(docs, words, perms, rows), "signatures")
     comp = near_links(signed, docs, words, percent)
-    rows_ = signed.select("doc_id", "node", "n_shingles").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    rows_ = signed.select("doc_id", "text_key", "node", "n_shingles").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = rows_.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("low"))
     return rows_.join(lowest, "comp", "left").select(
         "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("low", "doc_id"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("doc_id") == F.coalesce("low", "doc_id"), F.lit(True)).alias("kept"), "text_key")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pastline.llm.common import LOWER, UPPER, bind, lower_ascii, stored
+from pastline.llm.common import LOWER, UPPER, bind, lower_ascii, stored, text_key
 
 KEY = "surrogate-key-0"
 ROUNDS = 64
@@ -187,16 +187,15 @@ def surrogate_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
     rewritten alike. Equal entities have equal surrogates in all documents and
     unequal ones unequal surrogates; raises if a format has no room for that.
     """
-    text_key = F.xxhash64(F.coalesce("text", F.lit("")))
     flat = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)), entities_of))
-    found = stored(docs.select("doc_id", text_key.alias("text_key"), F.array_distinct(F.coalesce(flat, F.array().cast(EMPTY))).alias("found"))
+    found = stored(docs.select("doc_id", text_key().alias("text_key"), F.array_distinct(F.coalesce(flat, F.array().cast(EMPTY))).alias("found"))
                    .filter(F.size("found") > 0), "pii-found")
     each = found.select("doc_id", "text_key", F.inline("found"))
     again = assignment(each, key)
     attempts = each.join(again, ["kind", "canon"]).groupBy("doc_id", "text_key").agg(
         F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "canon").alias("k"), F.col("attempt").alias("v")))).alias("attempts"))
     attempts = stored(attempts.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "attempts"), "pii-attempts")
-    joined = docs.select("doc_id", "text").join(attempts, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key == F.col("__key")), "left")
+    joined = docs.select("doc_id", "text").join(attempts, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key")), "left")
     draws = F.coalesce("attempts", F.create_map().cast("map<string,int>"))
 
     def rebuilt(found: Column) -> Column:

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pastline.llm.common import SPACES, UPPER, bind, source_table, stored, words_of
+from pastline.llm.common import SPACES, UPPER, bind, source_table, stored, text_key, words_of
 
 SYMBOLS = "#*$%&|<>"
 ALPHA, DELTA, PENALTY = 0.02, 0.05, 10.0
@@ -133,15 +133,20 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     A null lang is a stratum of its own. Repeated rows are judged alike.
     Without labels, kept is ``not base_failed``.
     """
+    return judged(docs, labels, alpha, delta).drop("text_key")
+
+
+def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """``quality_rules`` with the key that tells rows apart."""
     stratum = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
-    stats = stored(text_statistics(docs.select("doc_id", "text", stratum.alias("stratum")), "doc_id", "stratum"), "quality-stats")
+    stats = stored(text_statistics(docs.select("doc_id", "text", stratum.alias("stratum"), text_key().alias("text_key")), "doc_id", "text_key", "stratum"), "quality-stats")
     cuts = certified_cutoffs(stats, labels, alpha, delta)
     wide = stored(cuts.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES]), "quality-cutoffs")
-    judged = stats.join(wide, "stratum", "left")  # one row per stratum: planned by its measured size
+    rows = stats.join(wide, "stratum", "left")  # one row per stratum: planned by its measured size
     failed = F.array_compact(F.array(*[F.when(F.expr(stat) * sign > F.col(f"cut_{r}") * sign, F.lit(r)) for r, (stat, sign, _) in RULES.items()]))
-    return judged.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed).select(
+    return rows.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), F.concat_ws(",", "failed_rules").alias("failed_rules"))
+        (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), F.concat_ws(",", "failed_rules").alias("failed_rules"), "text_key")
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +19,7 @@ def _documents(operator: Callable[[DataFrame], DataFrame], *columns: str) -> Bui
 
 
 QUERIES: dict[str, Builder] = {
+    "pipeline": corpus_pipeline.run,
     "op1_toxicity": toxicity.toxicity_query,
     "op2_quality_rules": quality.quality_query,
     "op3_byte_bpe": _documents(lambda d: bpe.bpe_documents(d, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN), "doc_id", "text"),
@@ -35,3 +37,5 @@ SQL: dict[str, str] = {
     "op6_secret_scans": secrets.SQL,
     "op8_sharding": sharding.SQL,
 }
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

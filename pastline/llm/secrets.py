@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pastline.llm.common import bind, source_table, stored
+from pastline.llm.common import bind, source_table, stored, text_key
 from pastline.llm.spans import match_parts, positions
 
 REACH = 120
@@ -55,7 +55,7 @@ def find_spans(docs: DataFrame, reach: int = REACH) -> tuple[DataFrame, DataFram
     parts = F.concat(*[match_parts(F.col("text"), k, p, lambda m, n=n: _passes(n, m)) for k, (n, p, _, _) in enumerate(KINDS)])
     rows = stored(docs.select("doc_id", text.alias("text")).select(
         "doc_id", F.monotonically_increasing_id().alias("row_id"),
-        F.xxhash64("text").alias("text_key"), parts.alias("parts")), "secret-parts")
+        text_key().alias("text_key"), parts.alias("parts")), "secret-parts")
     spans = positions(rows.select("row_id", F.inline("parts")), "row_id").drop("value")
     return rows.drop("parts"), _linked(spans, reach)
 
@@ -108,15 +108,15 @@ def mask_secrets(docs: DataFrame, reach: int = REACH, mask: str = "[secret]") ->
     """
     rows, spans = find_spans(docs, reach)
     listed = spans.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("__spans"))
-    found = rows.join(listed, "row_id").dropDuplicates(["doc_id", "text_key"]).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__spans")
+    found = stored(rows.join(listed, "row_id").dropDuplicates(["doc_id", "text_key"]).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "__spans"), "secret-spans")
     masked = F.aggregate(
         F.col("__spans"), F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at")),
         lambda a, x: F.when(x.end <= a.at, a).otherwise(F.struct(
             F.when(x.start < a.at, a.out).otherwise(F.concat(a.out, F.substr("text", (a.at + 1).cast("int"), (x.start - a.at).cast("int")), F.lit(mask))).alias("out"),
             x.end.alias("at"))),
         lambda a: F.concat(a.out, F.substr("text", (a.at + 1).cast("int"))))
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__key")), "left")
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key")), "left")
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(masked)
     return joined.withColumn("text", text).select(*docs.columns)
 
