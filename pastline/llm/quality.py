@@ -32,12 +32,12 @@ SYMBOLS = "#*$%&|<>"
 ALPHA, DELTA, PENALTY = 0.02, 0.05, 10.0
 #: rule -> (statistic as SQL over the stored columns, +1: rejects above / -1: rejects below, cutoffs from lenient to strict)
 RULES: dict[str, tuple[str, int, tuple[float, ...]]] = {
-    "symbols": ("n_symbols / n_words", 1, (5.0, 3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)),
-    "long_words": ("word_chars / n_words", 1, (50.0, 30.0, 20.0, 16.0, 14.0, 12.0, 11.0, 10.0)),
-    "short_words": ("word_chars / n_words", -1, (1.25, 1.5, 1.75, 2.0, 2.25, 2.5, 2.75, 3.0)),
-    "dup_lines": ("n_dup_lines / n_lines", 1, (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
-    "repeats": ("n_repeat_words / n_words", 1, (0.49, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2)),
-    "capitals": ("n_upper / word_chars", 1, (0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4)),
+    "symbols": ("n_symbols / nullif(n_words, 0)", 1, (5.0, 3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1, 0.05)),
+    "long_words": ("word_chars / nullif(n_words, 0)", 1, (50.0, 30.0, 20.0, 16.0, 14.0, 12.0, 11.0, 10.0)),
+    "short_words": ("word_chars / nullif(n_words, 0)", -1, (1.25, 1.5, 1.75, 2.0, 2.25, 2.5, 2.75, 3.0)),
+    "dup_lines": ("n_dup_lines / nullif(n_lines, 0)", 1, (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2)),
+    "repeats": ("n_repeat_words / nullif(n_words, 0)", 1, (0.49, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2)),
+    "capitals": ("n_upper / nullif(word_chars, 0)", 1, (0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4)),
 }
 
 
@@ -157,9 +157,8 @@ def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     """The same in DuckDB: windows counted by grouping, the tail by ``lgamma`` terms."""
     p, d = ALPHA / len(RULES), DELTA / len(RULES)
-    div = {r: (stat.replace(" / ", " / nullif(") + ", 0)") for r, (stat, _, _) in RULES.items()}
     rungs = " UNION ALL ".join(f"SELECT '{r}' AS rule, {i} AS step, {c}::DOUBLE AS cutoff, {s} AS sign" for r, (_, s, cuts) in RULES.items() for i, c in enumerate(cuts))
-    value = "CASE rule " + " ".join(f"WHEN '{r}' THEN {x}" for r, x in div.items()) + " END"
+    value = "CASE rule " + " ".join(f"WHEN '{r}' THEN {x}" for r, (x, _, _) in RULES.items()) + " END"
     return f"""
 WITH t AS (SELECT doc_id, coalesce('=' || lang, '') AS stratum, coalesce(text, '') AS text,
     list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w,
