@@ -76,11 +76,11 @@ def signed_rank_upper_tail(w: float, n: int) -> float:
 
 
 def elbow_index(cum: list[float]) -> int:
-    """0-based index of the point farthest from the chord of a curve."""
-    n = len(cum)
-    if n < 2:
+    """0-based index of the point farthest from the straight line between the
+    ends of a curve; the first of equals, 0 for a curve without ends."""
+    if len(cum) < 2:
         return 0
-    x0, y0, x1, y1 = 0.0, cum[0], n - 1.0, cum[-1]
-    den = math.hypot(y1 - y0, x1 - x0)
-    dist = [abs((y1 - y0) * i - (x1 - x0) * cum[i] + x1 * y0 - y1 * x0) / den for i in range(n)]
-    return max(range(n), key=lambda i: (dist[i], -i))
+    # the distance from a line grows with the height over it, so heights decide
+    rise = (cum[-1] - cum[0]) / (len(cum) - 1)
+    heights = [abs(y - cum[0] - rise * i) for i, y in enumerate(cum)]
+    return heights.index(max(heights))

@@ -16,13 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pastline.operators.scan import (
-    BEFORE, CHUNK, DAY_SECONDS, UPTO, chunk_col, chunk_window, local_window,
+    BEFORE, CHUNK, DAY_SECONDS, UPTO, chunk_col, chunk_window, join_carry, local_window,
 )
+from pastline.sources.scratch import stored
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: str,
@@ -41,19 +41,22 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: st
         F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     r_part = right.select(
         F.col(right_key).alias("_k"), rt_col.alias("_t"),
-        F.lit(0).alias("_side"), pos.alias("_p"), F.struct(*[F.col(v) for v in values]).alias("_r"))
+        F.lit(0).alias("_side"), pos.alias("_p"), F.struct(*[F.col(v) for v in values]).alias("_r")
+    ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())  # matches nothing otherwise
     u = l_part.unionByName(r_part, allowMissingColumns=True).withColumn(CHUNK, chunk_col("_t", chunk_seconds))
 
     w = local_window(["_k"], [F.col("_t"), F.col("_side"), F.col("_p")]).rowsBetween(*UPTO)
     local = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-    local = local.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and the carry join
+    local = stored(local, "asof-local")  # read by the summary and the carry join
     # one row per (key, chunk) - also for chunks with left rows only
     summary = local.groupBy("_k", CHUNK).agg(
         F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.struct("_t", "_p"))).alias("_last"))
     carry = summary.select("_k", CHUNK, F.last("_last", ignorenulls=True).over(
         chunk_window(["_k"]).rowsBetween(*BEFORE)).alias("_c"))
-    j = local.where(F.col("_side") == 1).join(carry, ["_k", CHUNK], "inner")
-    return j.select("_l.*", F.coalesce("_m", "_c").alias(out))
+    j = join_carry(local.where(F.col("_side") == 1), carry, ["_k"])
+    # a left row without key or time is kept and matches nothing
+    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+    return j.select("_l.*", F.when(known, F.coalesce("_m", "_c")).alias(out))
 
 
 def fill_from(existing: str | Column, joined: Column) -> Column:

@@ -16,14 +16,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pastline.operators.scan import (
-    BEFORE, CHUNK, DAY_SECONDS, UPTO, chunk_col, chunk_window, local_window,
+    BEFORE, CHUNK, DAY_SECONDS, UPTO, chunk_col, chunk_window, join_carry, local_window,
     whole_days_between,
 )
+from pastline.sources.scratch import stored
 
 
 def to_entity_rows(df: DataFrame, *, id_col: str = "match_id", time: str = "match_date",
@@ -76,9 +76,8 @@ def entity_history(long: DataFrame, *, entity: str = "entity", time: str = "matc
         *[F.count(v).over(w.rowsBetween(-k, -1)).alias(f"_lc_{v}") for v in values],
     )
     local = local.withColumn("_lloss", F.max(F.when(~F.col(won), F.col("_lrn"))).over(w.rowsBetween(*BEFORE)))
-    # read twice below (summary and carry join): one shuffle and one sort,
-    # kept for the life of the result (memory, then disk)
-    local = local.persist(StorageLevel.MEMORY_AND_DISK)
+    # read twice below (summary and carry join): one shuffle and one sort
+    local = stored(local, "history-local")
 
     # Level 2: one summary row per (entity, chunk), then carries across chunks.
     tail = F.struct(F.col("_lrn"), *[F.col(v) for v in values])
@@ -106,7 +105,7 @@ def entity_history(long: DataFrame, *, entity: str = "entity", time: str = "matc
         F.slice("_halo", F.greatest(F.size("_halo") - k + 1, F.lit(1)), k).alias("_halo"),
     )
 
-    j = local.join(carry, [entity, CHUNK], "inner")
+    j = join_carry(local, carry, [entity])
     prev = F.coalesce(F.col("_lprev"), F.col("_cprev"))
     need = F.greatest(F.lit(k) - (F.col("_lrn") - 1), F.lit(0))
     part = F.slice("_halo", F.greatest(F.size("_halo") - need + 1, F.lit(1)), need)
@@ -177,11 +176,11 @@ def pair_history(df: DataFrame, *, home: str = "home", away: str = "away",
     sums = ["_one", "_g", "_wlo", "_whi"]
     df = df.withColumn("_one", F.lit(1))
     local = df.select("*", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"_l{c}") for c in sums])
-    local = local.persist(StorageLevel.MEMORY_AND_DISK)  # read by the summary and the carry join
+    local = stored(local, "pair-local")  # read by the summary and the carry join
     summary = local.groupBy(*keys, CHUNK).agg(*[F.sum(c).alias(c) for c in sums])
     ws = chunk_window(keys).rowsBetween(*BEFORE)
     carry = summary.select(*keys, CHUNK, *[F.coalesce(F.sum(c).over(ws), F.lit(0)).alias(f"_c{c}") for c in sums])
-    j = local.join(carry, [*keys, CHUNK], "inner")
+    j = join_carry(local, carry, keys)
     tot = {c: F.col(f"_l{c}") + F.col(f"_c{c}") for c in sums}
     played = tot["_one"]
     home_wins = F.when(F.col(home) == F.col("_lo"), tot["_wlo"]).otherwise(tot["_whi"])
@@ -193,27 +192,22 @@ def pair_history(df: DataFrame, *, home: str = "home", away: str = "away",
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
-def dense_order(df: DataFrame, *, time: str = "match_date", tie: str = "match_id",
-                out: str = "seq", buckets: int = 4096) -> DataFrame:
-    """0-based dense row number in ``(time, tie)`` order.
+def dense_order(df: DataFrame, *, time: str = "match_date", tie: str | Sequence[str] = "match_id",
+                out: str = "seq") -> DataFrame:
+    """0-based dense row number in ``(time, *tie)`` order, nulls last.
 
-    No window over all rows and no table of all distinct times in one task:
-    ``seq`` = (rows with an earlier time) + (rows with the same time and a
-    smaller tie). Both counts come from the bucketed prefix counts of
-    :func:`pastline.operators.stats.value_prefix` - the first over the time
-    (as exact epoch microseconds), the second over the tie within each time,
-    so a hot date is split by tie buckets. ``tie`` must be numeric and unique
-    within a time.
+    ``tie`` is one column or several, of any ordered types; rows equal in all
+    of them are numbered in an arbitrary order. The rows are range-partitioned
+    by the order columns once and stored; a row's number is its place in its
+    range plus the rows of the ranges before, from a table with one row per
+    range. A hot time is split by the ties.
     """
-    from pastline.operators.stats import value_prefix
-    t_us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                            F.col(time).cast("timestamp_ntz")).cast("double")
-    d = df.withColumns({"_tu": t_us, "_tv": F.col(tie).cast("double"), "_k": F.lit(0)})
-    by_time = value_prefix(d.select("_k", "_tu"), keys=["_k"], value="_tu", buckets=buckets).select(
-        "_tu", F.col("before_n").alias("_bt"))
-    by_tie = value_prefix(d.select("_tu", "_tv"), keys=["_tu"], value="_tv", buckets=buckets,
-                          keys_are_metadata=False).select(
-        "_tu", "_tv", F.col("before_n").alias("_bk"))
-    return (d.join(by_time, "_tu").join(by_tie, ["_tu", "_tv"])
-            .withColumn(out, (F.col("_bt") + F.col("_bk")).cast("bigint"))
-            .drop("_tu", "_tv", "_k", "_bt", "_bk"))
+    order = [F.col(c).asc_nulls_last() for c in (time, *([tie] if isinstance(tie, str) else tie))]
+    ranged = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(*BEFORE)),
+                                               F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return (ranged.withColumn("_place", place).join(before, "_range")
+            .withColumn(out, (F.col("_before") + F.col("_place")).cast("bigint"))
+            .drop("_range", "_place", "_before"))

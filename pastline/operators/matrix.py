@@ -86,15 +86,12 @@ def dominant_column(zcols: Sequence[str], names: Sequence[str]) -> Column:
     return F.array_max(arr)["name"]
 
 
-def archetype(z_home_rating: Column, z_away_rating: Column, z_home_form: Column, z_away_form: Column) -> Column:
-    """ordered rule cascade over z-scores, first match wins."""
-    he, ae, fh, fa = z_home_rating, z_away_rating, z_home_form, z_away_form
-    return (F.when((he > 1) & (fh < -1.2), F.lit("strong home side in a slump"))
-            .when((ae > 1) & (fa < -1.2), F.lit("strong away side in a slump"))
-            .when((he < -1) & (fh > 1.2), F.lit("weak home side on a run"))
-            .when((ae < -1) & (fa > 1.2), F.lit("weak away side on a run"))
-            .when(F.greatest(F.abs(he), F.abs(ae)) > 2.5, F.lit("extreme rating"))
-            .otherwise(F.lit("mixed strength and form")))
+def first_match(rules: Sequence[tuple[str, str]], otherwise: str) -> Column:
+    """the name of the first rule whose SQL condition holds, else ``otherwise``."""
+    name = F.lit(otherwise)
+    for condition, label in reversed(rules):
+        name = F.when(F.expr(condition), F.lit(label)).otherwise(name)
+    return name
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> np.ndarray:

@@ -9,8 +9,7 @@ is small by construction and serialisable as JSON (S7).
 
 Two actions in ``fit``: (1) medians, (2) train mean / population deviation
 of the imputed columns plus the completeness check over all rows (M5).
-Exact medians (linear interpolation) use Spark's ``percentile``; pass
-``approx=True`` to use ``percentile_approx`` on very wide value sets.
+Medians are exact (linear interpolation).
 """
 
 from __future__ import annotations
@@ -25,10 +24,6 @@ from pyspark.sql import functions as F
 from pastline.operators.contract import any_null_flag, differences
 
 
-def _median(c: Column, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 100000) if approx else F.median(c)
-
-
 @dataclass
 class Prepared:
     group_col: str
@@ -96,20 +91,12 @@ class Preparer:
     continuous: Sequence[str] = ()
     flags: Sequence[str] = ()
     missing_flag: str = "rating_missing"
-    approx: bool = False
 
     def medians(self, df: DataFrame) -> tuple[dict, float | None, dict]:
         """A15 + A16 + U2: pooled per-group and global rating medians and
         per-column medians, all on train rows only."""
         tr = df.where(F.col(self.split_col) == self.train_value)
         pooled = tr.select(self.group_col, F.explode(F.array(*[F.col(c) for c in self.rating_cols])).alias("_e"))
-        if self.approx:
-            per_group = pooled.groupBy(F.col(self.group_col).cast("string")).agg(_median(F.col("_e"), True))
-            groups = {r[0]: r[1] for r in per_group.collect()}  # one row per category
-            glob = pooled.agg(_median(F.col("_e"), True)).first()[0]
-            meds = (tr.agg(*[_median(F.col(c), True).alias(c) for c in self.median_cols]).first().asDict()
-                    if self.median_cols else {})
-            return groups, glob, meds
         # exact medians in one pass (no group's values in one aggregation buffer):
         # pooled ratings per group, pooled ratings overall, and each median column
         from pastline.operators.stats import exact_percentiles

@@ -4,7 +4,7 @@ Each profile is one wide aggregate over the table (partial aggregation on
 every task, one tiny final stage), unpivoted into a long table with one
 row per column. Distinct counts unpivot the values first and count
 distinct ``(column, value)`` pairs, so no per-column ``Expand`` copy of
-the table is made; ``approx=True`` switches to HyperLogLog.
+the table is made.
 """
 
 from __future__ import annotations
@@ -24,20 +24,17 @@ def _stack(df: DataFrame, names: Sequence[str], fields: Sequence[str],
         for n in names])).alias("s")).select(*keep, "s.*")
 
 
-def column_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
+def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A1: ``column_name, dtype, n_rows, non_null_pct, n_distinct``."""
     cols = list(cols or df.columns)
     types = dict(df.dtypes)
-    fields = ["nn"] + (["nd"] if approx else [])
-    prof = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"nn__{c}") for c in cols],
-                  *([F.approx_count_distinct(c).alias(f"nd__{c}") for c in cols] if approx else []))
-    out = _stack(prof, cols, fields, keep=["_n"])
-    if not approx:
-        vals = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
-        nd = (vals.select("s.*").where(F.col("v").isNotNull()).distinct()
-              .groupBy("column_name").agg(F.count(F.lit(1)).alias("nd")))
-        out = out.join(nd, "column_name", "left").withColumn("nd", F.coalesce("nd", F.lit(0)))
+    prof = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"nn__{c}") for c in cols])
+    out = _stack(prof, cols, ["nn"], keep=["_n"])
+    vals = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
+    nd = (vals.select("s.*").where(F.col("v").isNotNull()).distinct()
+          .groupBy("column_name").agg(F.count(F.lit(1)).alias("nd")))
+    out = out.join(nd, "column_name", "left").withColumn("nd", F.coalesce("nd", F.lit(0)))
     dtype = F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])])
     return out.select(
         "column_name", F.element_at(dtype, F.col("column_name")).alias("dtype"),
@@ -194,10 +191,8 @@ def rate_table(df: DataFrame, *, x: Column, edges: Sequence[float], labels: Sequ
     n = F.count(F.lit(1))
     return b.groupBy("bin", "bin_order").agg(
         n.alias("n"),
-        *[F.round(F.try_divide(F.count_if(F.col("_y") == c), F.count(F.col("_y"))).cast("double"), 6)
-          .alias(f"rate_{c}") for c in classes]).select(
-        "bin", "bin_order", "n",
-        *[F.when(F.col(f"rate_{c}") > 0, F.col(f"rate_{c}")).alias(f"rate_{c}") for c in classes])
+        *[F.when(F.count_if(F.col("_y") == c) > 0, F.round(
+            (F.count_if(F.col("_y") == c) / F.count(F.col("_y"))).cast("double"), 6)).alias(f"rate_{c}") for c in classes])
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

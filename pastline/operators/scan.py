@@ -20,7 +20,7 @@ broadcast after measuring it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
@@ -40,7 +40,17 @@ def local_window(keys: list[str], order: list[str | Column]) -> WindowSpec:
 
 
 def chunk_window(keys: list[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(CHUNK)
+    return Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last())
+
+
+def join_carry(local: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+    """``local`` with its chunk's carry; null keys and the chunk of null times keep their rows."""
+    on = [*keys, CHUNK]
+    renamed = carry.withColumnsRenamed({c: f"_carry_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & local[c].eqNullSafe(renamed[f"_carry_{c}"])
+    return local.join(renamed, cond, "left").drop(*[f"_carry_{c}" for c in on])
 
 
 BEFORE = (Window.unboundedPreceding, -1)

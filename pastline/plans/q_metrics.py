@@ -203,7 +203,7 @@ tbl as (
          coalesce(f.recall_D, 0) as test_recall_D, (t.accuracy - t.pe) / (1 - t.pe) as test_kappa,
          a.roc_auc as test_roc_auc, l.log_loss as test_logloss
   from summ t
-  join summ v on v.model = t.model and v.split = 'val'
+  left join summ v on v.model = t.model and v.split = 'val'
   join f1c f on f.model = t.model and f.split = 'test'
   join am a on a.model = t.model and a.split = 'test'
   join ll l on l.model = t.model and l.split = 'test'
@@ -232,7 +232,7 @@ def model_table_df(spark, sf_dir) -> DataFrame:
                     F.col("kappa").alias("test_kappa"), F.col("roc_auc").alias("test_roc_auc"),
                     F.col("log_loss").alias("test_logloss")))
     val = summ.where(F.col("split") == "val").select("model", F.col("f1_macro").alias("val_f1_macro"))
-    return test.join(val, "model")  # J5: validation score looked up by model name
+    return test.join(val, "model", "left")  # J5: validation score looked up by model name, absent ones null
 
 
 @query("model_table", "V12 V17 J5 S8", sql=_TABLE_SQL + "\nselect model, family, "

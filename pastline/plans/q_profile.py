@@ -399,7 +399,7 @@ def _profiled(spark, sf_dir):
     z = ST.zscores(d, MAHA, ddof=0, prefix="z_")
     zc = [f"z_{c}" for c in MAHA]
     return z.withColumns({"dominant": MX.dominant_column(zc, MAHA),
-                          "archetype": MX.archetype(*[F.col(c) for c in zc])})
+                          "archetype": MX.first_match(presets.ARCHETYPE_RULES, presets.ARCHETYPE_OTHER)})
 
 
 @query("outlier_profile", "ST9 F9 F10 A19")

@@ -30,7 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("PASTLINE_DRIVER_MEMORY", "4g"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -42,8 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is set by the cluster configuration and read
-    from the session. Only when it is unset (local tests) is a fresh scratch
-    folder created and registered.
+    from the session. Only in a local session without one (tests, bench) is a
+    fresh scratch folder created and registered; elsewhere that raises, since
+    executors could not read a machine-local folder back.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="pastline-ckpt-", dir=os.environ.get("PASTLINE_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
