@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pastline.llm.common import SPACES, UPPER, bind, source_table, stored, text_key, words_of
+from pastline.llm.common import SPACES, UPPER, bind, source_table, stored, words_of
 
 SYMBOLS = "#*$%&|<>"
 ALPHA, DELTA, PENALTY = 0.02, 0.05, 10.0
@@ -124,6 +124,24 @@ def certified_cutoffs(stats: DataFrame, labels: DataFrame, alpha: float = ALPHA,
     return ladders.select("stratum", "rule", best.cutoff.alias("cutoff")).filter("cutoff is not null")
 
 
+def _stratum() -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
+
+
+def _judged(stats: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """``stats`` with base_failed, failed_rules and kept."""
+    rows = stats.join(cutoffs, "stratum", "left")  # one row per stratum: planned by its stored size
+    failed = F.array_compact(F.array(*[F.when(F.expr(stat) * sign > F.col(f"cut_{r}") * sign, F.lit(r)) for r, (stat, sign, _) in RULES.items()]))
+    return (rows.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
+            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))
+
+
+def _cutoffs(stats: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """A row of certified cutoffs per stratum, stored."""
+    cuts = certified_cutoffs(stats, labels, alpha, delta)
+    return stored(cuts.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES]), "quality-cutoffs")
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """One row per row of ``docs`` (reads doc_id, text, lang; others are ignored).
 
@@ -133,20 +151,21 @@ def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delt
     A null lang is a stratum of its own. Repeated rows are judged alike.
     Without labels, kept is ``not base_failed``.
     """
-    return judged(docs, labels, alpha, delta).drop("text_key")
+    stats = stored(text_statistics(docs.select("doc_id", "text", _stratum().alias("stratum")), "doc_id", "stratum"), "quality-stats")
+    return _judged(stats, _cutoffs(stats, labels, alpha, delta)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.concat_ws(",", "failed_rules").alias("failed_rules"))
 
 
-def judged(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``quality_rules`` with the key that tells rows apart."""
-    stratum = F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
-    stats = stored(text_statistics(docs.select("doc_id", "text", stratum.alias("stratum"), text_key().alias("text_key")), "doc_id", "text_key", "stratum"), "quality-stats")
-    cuts = certified_cutoffs(stats, labels, alpha, delta)
-    wide = stored(cuts.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"cut_{r}") for r in RULES]), "quality-cutoffs")
-    rows = stats.join(wide, "stratum", "left")  # one row per stratum: planned by its measured size
-    failed = F.array_compact(F.array(*[F.when(F.expr(stat) * sign > F.col(f"cut_{r}") * sign, F.lit(r)) for r, (stat, sign, _) in RULES.items()]))
-    return rows.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), F.concat_ws(",", "failed_rules").alias("failed_rules"), "text_key")
+def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns.
+
+    The rows are stored beside their statistics, so no text is shuffled and
+    no statistic is taken twice.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "doc_id", "text", _stratum().alias("stratum"))
+    stats = stored(text_statistics(rows, "__row", "doc_id", "stratum"), "quality-rows")
+    return _judged(stats, _cutoffs(stats.drop("__row"), labels, alpha, delta)).filter("kept").select("__row.*")
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
