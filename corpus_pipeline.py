@@ -16,7 +16,7 @@ from pastline.llm.common import keep_rows, source_table, stored
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a base rule or a certified cutoff rejects go."""
-    return keep_rows(docs, quality.judged(docs, source_table(spark, sf_dir, "labels", "doc_id", "quality")))
+    return quality.keep_good(docs, source_table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
