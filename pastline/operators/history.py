@@ -193,17 +193,19 @@ def pair_history(df: DataFrame, *, home: str = "home", away: str = "away",
 
 
 def dense_order(df: DataFrame, *, time: str = "match_date", tie: str | Sequence[str] = "match_id",
-                out: str = "seq") -> DataFrame:
+                out: str = "seq", buckets: int | None = None) -> DataFrame:
     """0-based dense row number in ``(time, *tie)`` order, nulls last.
 
     ``tie`` is one column or several, of any ordered types; rows equal in all
     of them are numbered in an arbitrary order. The rows are range-partitioned
     by the order columns once and stored; a row's number is its place in its
     range plus the rows of the ranges before, from a table with one row per
-    range. A hot time is split by the ties.
+    range. A hot time is split by the ties. ``buckets`` sets the number of
+    ranges (the session's shuffle partitions otherwise).
     """
     order = [F.col(c).asc_nulls_last() for c in (time, *([tie] if isinstance(tie, str) else tie))]
-    ranged = stored(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges")
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
+    ranged = stored(ranged.withColumn("_range", F.spark_partition_id()), "ranges")
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(*BEFORE)),
                                                F.lit(0)).alias("_before"))
