@@ -18,48 +18,54 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pastline.learners.data import FEATURES, LABEL
+from pastline.learners.data import FEATURES, LABEL, hash_uniform
+from pastline.learners.models import _depth, _item, n_classes
 
-K = 3
+
+#: beyond this count a Poisson(1) draw is rarer than one step of a 53-bit uniform
+MOST = 18
 
 
 def poisson_one(u):
-    """Inverse CDF of Poisson(1) on a uniform column (counts 0..8)."""
+    """Inverse CDF of Poisson(1) on a 53-bit uniform column."""
     cdf, out, p = 0.0, None, math.exp(-1.0)
-    for k in range(9):
+    for k in range(MOST):
         cdf += p
         cond = u < cdf
         out = F.when(cond, F.lit(float(k))) if out is None else out.when(cond, F.lit(float(k)))
         p = p / (k + 1)
-    return out.otherwise(F.lit(9.0))
+    return out.otherwise(F.lit(float(MOST)))
 
 
 def oob_curve(train: DataFrame, *, id_col: str, n_trees: int, report_at: Sequence[int], max_depth: int = 10,
               min_leaf: int = 1, features: str = "sqrt", seed: int = 42, checkpoint_every: int = 4) -> list[tuple]:
-    d = train.select(id_col, FEATURES, LABEL, *[F.lit(0.0).alias(f"_v{c}") for c in range(K)],
+    k = n_classes(train)
+    d = train.select(id_col, FEATURES, LABEL, *[F.lit(0.0).alias(f"_v{c}") for c in range(k)],
                      F.lit(0).alias("_nv"))
-    out = []
+    out, prev = [], None
     for t in range(n_trees):
-        u = (F.abs(F.xxhash64(F.col(id_col), F.lit(t), F.lit(seed))) % 1_000_000) / 1_000_000.0
-        d = d.withColumn("_bw", poisson_one(u))
+        d = d.withColumn("_bw", poisson_one(hash_uniform(F.col(id_col), F.lit(t), F.lit(seed))))
         rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="_bw", numTrees=1,
-                                    bootstrap=False, subsamplingRate=1.0, maxDepth=min(max_depth, 30),
+                                    bootstrap=False, subsamplingRate=1.0, maxDepth=_depth(max_depth),
                                     minInstancesPerNode=min_leaf, featureSubsetStrategy=features, seed=seed + t)
         m = rf.fit(d.where(F.col("_bw") > 0))
         sc = m.transform(d).withColumn("_pa", vector_to_array("probability")).drop(
             "rawPrediction", "probability", "prediction")
         oob = F.col("_bw") == 0
         d = sc.select(id_col, FEATURES, LABEL,
-                      *[(F.col(f"_v{c}") + F.when(oob, F.col("_pa")[c]).otherwise(0.0)).alias(f"_v{c}")
-                        for c in range(K)],
+                      *[(F.col(f"_v{c}") + F.when(oob, _item("_pa", c)).otherwise(0.0)).alias(f"_v{c}")
+                        for c in range(k)],
                       (F.col("_nv") + F.when(oob, 1).otherwise(0)).alias("_nv"))
-        prev = d
         d = d.checkpoint() if (t + 1) % checkpoint_every == 0 else d.persist()
         d.count()  # materialise before releasing the previous tree's frame
-        prev.unpersist()
+        if prev is not None:
+            prev.unpersist()
+        prev = d
         if t + 1 in report_at:
-            best = F.array_max(F.array(*[F.struct(F.col(f"_v{c}").alias("v"), F.lit(-c).alias("n")) for c in range(K)]))
+            best = F.array_max(F.array(*[F.struct(F.col(f"_v{c}").alias("v"), F.lit(-c).alias("n")) for c in range(k)]))
             r = d.where(F.col("_nv") > 0).agg(
                 F.avg((-best["n"] != F.col(LABEL)).cast("double")).alias("err"), F.count(F.lit(1)).alias("n")).first()
             out.append((t + 1, float(r["err"]), int(r["n"])))
+    if prev is not None:
+        prev.unpersist()
     return out

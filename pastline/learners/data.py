@@ -87,6 +87,11 @@ def stratified_fold_col(df: DataFrame, *, label: str, seq: str, k: int) -> tuple
     return j, fold
 
 
+def hash_uniform(*cols: Column) -> Column:
+    """A seeded uniform of 53 bits in [0, 1) from a hash of the columns."""
+    return F.shiftrightunsigned(F.xxhash64(*cols), 11) / F.lit(float(1 << 53))
+
+
 def uniform_sample(df: DataFrame, n: int, *, key: str, seed: int = 42) -> DataFrame:
     """N rows without replacement, deterministic (hash order; top-k per task)."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)

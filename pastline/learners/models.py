@@ -1,7 +1,8 @@
 """Learners (L1 to L13, L15, L16) behind one small interface.
 
 Each fitted model's ``transform(df)`` adds class probabilities ``p0..p{k-1}``
-and ``pred`` (argmax, first on ties). Fitting is distributed by Spark
+and ``pred`` (argmax, first on ties); ``k``, the number of classes, comes from
+the labels of the fit and stays with the model. Fitting is distributed by Spark
 (``pyspark.ml`` tree/linear solvers aggregate over executors); loops that
 grow a plan (boosting, SAMME) checkpoint their running scores into the
 shared checkpoint folder every few rounds.
@@ -22,12 +23,34 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pastline.learners.data import FEATURES, LABEL, WEIGHT, balanced_weights, class_counts, with_weights
+from pastline.learners.data import (
+    FEATURES, LABEL, WEIGHT, balanced_weights, class_counts, hash_uniform, with_weights,
+)
 from pastline.learners.parallel import pmap
 from pastline.operators.metrics import EPS, argmax_class
 
-K = 3
-P = [f"p{i}" for i in range(K)]
+#: the depth beyond which Spark's trees refuse to fit
+MAX_DEPTH = 30
+
+
+def n_classes(df: DataFrame) -> int:
+    """Labels are the codes 0..k-1: one more than the largest label of the rows."""
+    return int(df.agg(F.max(LABEL)).first()[0]) + 1
+
+
+def prob_cols(k: int) -> list[str]:
+    return [f"p{i}" for i in range(k)]
+
+
+def _item(arr: str, i: int) -> Column:
+    """Entry ``i`` of an array column; 0 for a class that a part of the rows did not have."""
+    return F.coalesce(F.get(F.col(arr), F.lit(i)), F.lit(0.0))
+
+
+def _depth(max_depth: int) -> int:
+    if max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is beyond the {MAX_DEPTH} levels that Spark's trees can have")
+    return max_depth
 
 
 def _softmax(scores: Sequence[Column]) -> list[Column]:
@@ -40,7 +63,13 @@ def _softmax(scores: Sequence[Column]) -> list[Column]:
 
 
 def _with_probs(df: DataFrame, probs: Sequence[Column]) -> DataFrame:
-    return df.withColumns({p: c for p, c in zip(P, probs)}).withColumn("pred", argmax_class(P))
+    names = prob_cols(len(probs))
+    return df.withColumns(dict(zip(names, probs))).withColumn("pred", argmax_class(names))
+
+
+def _true_prob(probs: Sequence[Column]) -> Column:
+    """The probability given to a row's own label; 0 for a label that the fit never saw."""
+    return F.coalesce(F.get(F.array(*probs), F.col(LABEL).cast("int")), F.lit(0.0))
 
 
 # ------------------------------------------------------------------ L1, L2
@@ -49,14 +78,15 @@ def _with_probs(df: DataFrame, probs: Sequence[Column]) -> DataFrame:
 class Majority:
     """L1: always the most frequent train class; one-hot probabilities."""
     cls: int
+    k: int
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return _with_probs(df, [F.lit(1.0 if i == self.cls else 0.0) for i in range(K)])
+        return _with_probs(df, [F.lit(1.0 if i == self.cls else 0.0) for i in range(self.k)])
 
 
 def fit_majority(train: DataFrame) -> Majority:
     counts = class_counts(train)
-    return Majority(int(max(sorted(counts), key=lambda c: counts[c])))
+    return Majority(int(max(sorted(counts), key=lambda c: counts[c])), int(max(counts)) + 1)
 
 
 @dataclass
@@ -68,9 +98,13 @@ class GaussianNB:
     means: dict[int, list[float]]
     vars: dict[int, list[float]]
 
+    @property
+    def k(self) -> int:
+        return max(self.priors) + 1
+
     def transform(self, df: DataFrame) -> DataFrame:
         scores = []
-        for c in range(K):
+        for c in range(self.k):
             if c not in self.priors:
                 scores.append(F.lit(-1e300))
                 continue
@@ -106,10 +140,14 @@ class SparkProb:
     """A fitted ``pyspark.ml`` classifier with a probability column."""
     model: object
 
+    @property
+    def k(self) -> int:
+        return self.model.numClasses
+
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.model.transform(df).withColumn("_pa", vector_to_array("probability"))
         out = out.drop("rawPrediction", "probability", "prediction")
-        return _with_probs(out, [F.col("_pa")[i] for i in range(K)]).drop("_pa")
+        return _with_probs(out, [_item("_pa", i) for i in range(self.k)]).drop("_pa")
 
 
 @dataclass
@@ -117,10 +155,14 @@ class SparkMargins:
     """One-vs-rest margins turned into probabilities by a softmax (no native probability)."""
     model: object
 
+    @property
+    def k(self) -> int:
+        return len(self.model.models)
+
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.model.transform(df).withColumn("_ra", vector_to_array("rawPrediction"))
         out = out.drop("rawPrediction", "prediction")
-        return _with_probs(out, _softmax([F.col("_ra")[i] for i in range(K)])).drop("_ra")
+        return _with_probs(out, _softmax([F.col("_ra")[i] for i in range(self.k)])).drop("_ra")
 
 
 def weighted(train: DataFrame, balanced: bool) -> DataFrame:
@@ -154,16 +196,16 @@ def fit_tree(train: DataFrame, max_depth: int = 5, min_leaf: int = 20, impurity:
     """L4: decision tree (binned splits), class-balanced weights."""
     t = weighted(train, balanced)
     dt = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, impurity=impurity,
-                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf, seed=seed)
+                                maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf, seed=seed)
     return SparkProb(dt.fit(t))
 
 
 def fit_forest(train: DataFrame, n_trees: int = 50, max_depth: int = 10, min_leaf: int = 5,
                features: str = "sqrt", balanced: bool = True, seed: int = 42) -> SparkProb:
-    """Random forest; depth capped at 30 (Spark's limit)."""
+    """Random forest."""
     t = weighted(train, balanced)
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, numTrees=n_trees,
-                                maxDepth=min(max_depth, 30), minInstancesPerNode=min_leaf,
+                                maxDepth=_depth(max_depth), minInstancesPerNode=min_leaf,
                                 featureSubsetStrategy=features, seed=seed)
     return SparkProb(rf.fit(t))
 
@@ -176,7 +218,8 @@ def fit_linear_svm(train: DataFrame, C: float = 1.0, balanced: bool = True, max_
     svc = LinearSVC(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, regParam=1.0 / (C * sw),
                     maxIter=max_iter, tol=tol, standardization=False)
     # the k binary problems are independent: fit them concurrently
-    ovr = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, parallelism=K)
+    ovr = OneVsRest(classifier=svc, featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT,
+                    parallelism=min(8, n_classes(t)))
     return SparkMargins(_fit_persisted(ovr, t))
 
 
@@ -186,6 +229,7 @@ def fit_linear_svm(train: DataFrame, C: float = 1.0, balanced: bool = True, max_
 class Calibrated:
     """Sigmoid calibration of one-vs-rest margins, averaged over folds."""
     members: list[tuple[object, list[tuple[float, float]]]]
+    k: int
 
     def transform(self, df: DataFrame) -> DataFrame:
         # margins of every member as columns, then sigmoid, normalise, average
@@ -193,35 +237,75 @@ class Calibrated:
         for j, (ovr, ab) in enumerate(self.members):
             out = ovr.transform(out).withColumn(f"_r{j}", vector_to_array("rawPrediction")).drop(
                 "rawPrediction", "prediction")
-        probs = [F.lit(0.0)] * K
+        probs = [F.lit(0.0)] * self.k
         for j, (_, ab) in enumerate(self.members):
             sig = [1 / (1 + F.exp(F.lit(a) * F.col(f"_r{j}")[c] + F.lit(b))) for c, (a, b) in enumerate(ab)]
-            tot = sig[0] + sig[1] + sig[2]
-            probs = [probs[c] + sig[c] / tot / len(self.members) for c in range(K)]
+            tot = sum(sig[1:], sig[0])
+            # a member whose folds lacked a class adds nothing to it
+            probs = [p + (sig[c] / tot / len(self.members) if c < len(sig) else F.lit(0.0))
+                     for c, p in enumerate(probs)]
         return _with_probs(out, probs).drop(*[f"_r{j}" for j in range(len(self.members))])
 
 
-def fit_calibrated_svm(train: DataFrame, fold: Column, k: int = 3, C: float = 1.0) -> Calibrated:
+def sigmoids(margins: DataFrame, counts: dict[float, int], k: int, rounds: int = 40,
+             tol: float = 1e-9) -> list[tuple[float, float]]:
+    """Per class the ``(a, b)`` of ``1 / (1 + exp(a r + b))`` that fits the margins ``_r[class]`` best.
+
+    Targets are smoothed, ``(n_pos + 1) / (n_pos + 2)`` and ``1 / (n_neg + 2)``,
+    so a minimum exists for separable margins too. Newton's method with halved
+    steps; a round is one aggregate for all classes."""
+    n = sum(counts.values())
+    pos = [counts.get(float(c), 0) for c in range(k)]
+    at = [(0.0, math.log((p + 1) / (n - p + 1))) for p in pos]  # slope and intercept on r
+    base: list = [None] * k  # the accepted point: loss, slope, intercept, step
+    for _ in range(rounds):
+        sums = []
+        for c, (w, b) in enumerate(at):
+            r = F.col("_r")[c]
+            z = F.lit(w) * r + F.lit(b)
+            t = F.when(F.col(LABEL) == c, (pos[c] + 1) / (pos[c] + 2)).otherwise(1 / (n - pos[c] + 2))
+            p = 1 / (1 + F.exp(-z))
+            h = p * (1 - p)
+            sums += [F.sum(F.greatest(z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z))) - t * z), F.sum((p - t) * r),
+                     F.sum(p - t), F.sum(h * r * r), F.sum(h * r), F.sum(h)]
+        row = margins.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()
+        moved = False
+        for c in range(k):
+            loss, gw, gb, hww, hwb, hbb = row[6 * c: 6 * c + 6]
+            if base[c] is None or loss <= base[c][0]:
+                hww, hbb = hww + 1e-12, hbb + 1e-12
+                det = hww * hbb - hwb * hwb
+                step = ((hbb * gw - hwb * gb) / det, (hww * gb - hwb * gw) / det) if det > 0 else (gw, gb)
+                base[c] = (loss, *at[c], step)
+            else:  # overshot: half the step from the accepted point
+                base[c] = (*base[c][:3], (base[c][3][0] / 2, base[c][3][1] / 2))
+            _, w, b, (dw, db) = base[c]
+            if max(abs(dw), abs(db)) > tol * (1 + abs(w) + abs(b)):
+                at[c], moved = (w - dw, b - db), True
+            else:
+                at[c] = (w, b)
+        if not moved:
+            break
+    return [(-w, -b) for _, w, b, _ in base]
+
+
+def fit_calibrated_svm(train: DataFrame, fold: Column, k: int = 3, C: float = 1.0, max_iter: int = 50) -> Calibrated:
     """Fit the SVM on k-1 folds, a per-class sigmoid on the held-out margins."""
     train = train.withColumn("_cfold", fold).checkpoint()  # fold ids computed once
     fold = F.col("_cfold")
-    from pyspark.ml.functions import array_to_vector
 
     def member(f):
         tr, ho = train.where(fold != f), train.where(fold == f)
-        svm = fit_linear_svm(tr, C=C)
+        svm = fit_linear_svm(tr, C=C, max_iter=max_iter)
         m = svm.model.transform(ho).withColumn("_r", vector_to_array("rawPrediction"))
-        ab = []
-        for c in range(K):
-            d = m.select(array_to_vector(F.array(F.col("_r")[c])).alias("x"),
-                         (F.col(LABEL) == c).cast("double").alias("_y"))
-            lr = LogisticRegression(featuresCol="x", labelCol="_y", regParam=0.0, maxIter=100).fit(d)
-            # P(y=1) = 1 / (1 + exp(a*r + b)) with a = -coef, b = -intercept
-            ab.append((-float(lr.coefficients[0]), -float(lr.intercept)))
-        return svm.model, ab
+        m = m.select("_r", LABEL).persist()
+        try:
+            return svm.model, sigmoids(m, class_counts(ho), svm.k)
+        finally:
+            m.unpersist()
 
     members = pmap(member, range(k), workers=k)
-    return Calibrated(members)
+    return Calibrated(members, n_classes(train))
 
 
 # ------------------------------------------------------------------ L8
@@ -248,6 +332,20 @@ class FourierFeatures:
         return df.withColumn(out, array_to_vector(rff(vector_to_array(in_col))))
 
 
+@dataclass
+class OnFourier:
+    """A linear model on random Fourier features."""
+    features: FourierFeatures
+    inner: SparkProb
+
+    @property
+    def k(self) -> int:
+        return self.inner.k
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.inner.transform(self.features.transform(df).drop(FEATURES).withColumnRenamed("rff", FEATURES))
+
+
 def fit_rff_svm(train: DataFrame, d: int, gamma: float = 0.01, n_features: int = 200, C: float = 1.0,
                 seed: int = 42):
     rng = np.random.default_rng(seed)
@@ -256,11 +354,7 @@ def fit_rff_svm(train: DataFrame, d: int, gamma: float = 0.01, n_features: int =
     t = ff.transform(train).drop(FEATURES).withColumnRenamed("rff", FEATURES)
     inner = fit_logreg(t, C=C)
 
-    class _M:
-        def transform(self, df):
-            z = ff.transform(df).drop(FEATURES).withColumnRenamed("rff", FEATURES)
-            return inner.transform(z)
-    return _M()
+    return OnFourier(ff, inner)
 
 
 # ------------------------------------------------------------------ L7
@@ -268,44 +362,51 @@ def fit_rff_svm(train: DataFrame, d: int, gamma: float = 0.01, n_features: int =
 @dataclass
 class Samme:
     """SAMME boosting of shallow balanced trees."""
+    k: int
     members: list[tuple[object, float]] = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        votes = [F.lit(0.0)] * K
+        votes = [F.lit(0.0)] * self.k
         out = df
         for j, (m, a) in enumerate(self.members):
             out = m.transform(out).withColumnRenamed("prediction", f"_y{j}").drop("rawPrediction", "probability")
-            votes = [votes[c] + F.when(F.col(f"_y{j}") == c, F.lit(a)).otherwise(0.0) for c in range(K)]
+            votes = [v + F.when(F.col(f"_y{j}") == c, F.lit(a)).otherwise(0.0) for c, v in enumerate(votes)]
         tot = sum(a for _, a in self.members) or 1.0
         return _with_probs(out, [v / tot for v in votes]).drop(*[f"_y{j}" for j in range(len(self.members))])
 
 
 def fit_samme(train: DataFrame, rounds: int = 10, rate: float = 1.0, depth: int = 3, checkpoint_every: int = 5,
               seed: int = 42) -> Samme:
-    cw = balanced_weights(class_counts(train))
+    """Each round's hits and misses are persisted until the next round's are
+    there; one aggregate gives the error and the sum of the new weights."""
+    counts = class_counts(train)
+    cw = balanced_weights(counts)
     cwm = F.create_map(*[F.lit(x) for c, w in cw.items() for x in (float(c), float(w))])
-    n = train.count()
+    k, n = int(max(counts)) + 1, sum(counts.values())
     d = train.select(FEATURES, LABEL).withColumn("_sw", F.lit(1.0 / n))
-    model = Samme()
+    model, held = Samme(k), None
     for m in range(rounds):
         fit_in = d.withColumn(WEIGHT, F.col("_sw") * F.element_at(cwm, F.col(LABEL)))
-        tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxDepth=depth,
+        tree = DecisionTreeClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, maxDepth=_depth(depth),
                                       seed=seed + m).fit(fit_in)
         pr = tree.transform(d).select(FEATURES, LABEL, "_sw", (F.col("prediction") != F.col(LABEL)).alias("_miss"))
-        err = pr.agg(F.sum(F.when(F.col("_miss"), F.col("_sw")).otherwise(0.0)) / F.sum("_sw")).first()[0]
+        pr = pr.checkpoint() if (m + 1) % checkpoint_every == 0 else pr.persist()
+        missed, total = pr.agg(F.sum(F.when(F.col("_miss"), F.col("_sw")).otherwise(0.0)), F.sum("_sw")).first()
+        if held is not None:
+            held.unpersist()
+        held, err = pr, missed / total
         if err <= 0:
             model.members.append((tree, 1.0))
             break
-        if err >= 1 - 1.0 / K:
+        if err >= 1 - 1.0 / k:
             break
-        alpha = rate * (math.log((1 - err) / err) + math.log(K - 1))
+        alpha = rate * (math.log((1 - err) / err) + math.log(k - 1))
         model.members.append((tree, alpha))
-        d = pr.select(FEATURES, LABEL, (F.col("_sw") * F.when(F.col("_miss"), F.lit(math.exp(alpha)))
-                                        .otherwise(1.0)).alias("_sw"))
-        tot = d.agg(F.sum("_sw")).first()[0]
-        d = d.withColumn("_sw", F.col("_sw") / F.lit(tot))
-        if (m + 1) % checkpoint_every == 0:
-            d = d.checkpoint()
+        grown = total - missed + missed * math.exp(alpha)
+        d = pr.select(FEATURES, LABEL, (F.col("_sw") * F.when(F.col("_miss"), F.lit(math.exp(alpha) / grown))
+                                        .otherwise(1.0 / grown)).alias("_sw"))
+    if held is not None:
+        held.unpersist()
     return model
 
 
@@ -316,10 +417,11 @@ class Boost:
     """Softmax gradient boosting with second-order leaf values
     ``-sum(g) / (sum(h) + lambda)`` (leaf values kept as literal maps)."""
     rate: float
+    k: int
     trees: list[list[tuple[object, dict[float, float]]]] = field(default_factory=list)
 
     def scores(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
-        out = df.withColumns({f"_f{c}": F.lit(0.0) for c in range(K)})
+        out = df.withColumns({f"_f{c}": F.lit(0.0) for c in range(self.k)})
         for r, per_class in enumerate(self.trees[: rounds]):
             for c, (tree, leaves) in enumerate(per_class):
                 leaf = f"_leaf{r}_{c}"
@@ -331,7 +433,8 @@ class Boost:
 
     def transform(self, df: DataFrame, rounds: int | None = None) -> DataFrame:
         out = self.scores(df, rounds)
-        return _with_probs(out, _softmax([F.col(f"_f{c}") for c in range(K)])).drop(*[f"_f{c}" for c in range(K)])
+        raw = [f"_f{c}" for c in range(self.k)]
+        return _with_probs(out, _softmax([F.col(c) for c in raw])).drop(*raw)
 
 
 BOOST_PRESETS = {
@@ -356,10 +459,11 @@ def fit_boost(train: DataFrame, val: DataFrame | None = None, *, rounds: int = 2
     each round's trees only (no re-scoring through earlier rounds); each
     round's frame is persisted and the lineage is cut with a checkpoint
     every ``checkpoint_every`` rounds."""
-    zero = [F.lit(0.0).alias(f"_f{c}") for c in range(K)]
+    k = n_classes(train)
+    zero = [F.lit(0.0).alias(f"_f{c}") for c in range(k)]
     t = weighted(train, balanced).select(id_col, FEATURES, LABEL, WEIGHT, *zero).persist()
     v = val.select(FEATURES, LABEL, *zero).persist() if val is not None else None
-    model = Boost(rate)
+    model = Boost(rate, k)
     best, best_r, since = float("inf"), 0, 0
 
     def apply(df, per_class, keep):
@@ -368,14 +472,14 @@ def fit_boost(train: DataFrame, val: DataFrame | None = None, *, rounds: int = 2
             df = reg.setLeafCol(f"_leaf{c}").setPredictionCol(f"_tp{c}").transform(df)
             df = df.withColumn(f"_f{c}", F.col(f"_f{c}") + F.lit(rate) *
                                F.coalesce(F.element_at(lm, F.col(f"_leaf{c}")), F.lit(0.0)))
-        return df.select(*keep, *[f"_f{c}" for c in range(K)])
+        return df.select(*keep, *[f"_f{c}" for c in range(k)])
 
     for r in range(rounds):
-        probs = _softmax([F.col(f"_f{c}") for c in range(K)])
-        tp = t.withColumns({f"_p{c}": probs[c] for c in range(K)})
+        probs = _softmax([F.col(f"_f{c}") for c in range(k)])
+        tp = t.withColumns({f"_p{c}": probs[c] for c in range(k)})
         if subsample < 1.0:
-            u = (F.abs(F.xxhash64(F.col(id_col), F.lit(seed + r))) % 1_000_000) / 1_000_000.0
-            tp = tp.where(u < subsample)
+            tp = tp.where(hash_uniform(F.col(id_col), F.lit(seed + r)) < subsample)
+
         def fit_class(c):
             y = (F.col(LABEL) == c).cast("double")
             g = (F.col(f"_p{c}") - y) * F.col(WEIGHT)
@@ -389,7 +493,7 @@ def fit_boost(train: DataFrame, val: DataFrame | None = None, *, rounds: int = 2
                       reg.transform(tc).groupBy("_leaf").agg(F.sum("_g"), F.sum("_h")).collect()}
             return reg, leaves
 
-        per_class = pmap(fit_class, range(K), workers=K)  # the k class trees of a round are independent
+        per_class = pmap(fit_class, range(k), workers=min(8, k))  # the k class trees of a round are independent
         model.trees.append(per_class)
         nt = apply(t, per_class, [id_col, FEATURES, LABEL, WEIGHT])
         nt = nt.checkpoint() if (r + 1) % checkpoint_every == 0 else nt.persist()
@@ -401,7 +505,7 @@ def fit_boost(train: DataFrame, val: DataFrame | None = None, *, rounds: int = 2
             nv.count()
             v.unpersist()
             v = nv
-            pt = F.element_at(F.array(*_softmax([F.col(f"_f{c}") for c in range(K)])), F.col(LABEL).cast("int") + 1)
+            pt = _true_prob(_softmax([F.col(f"_f{c}") for c in range(k)]))
             loss = v.agg(F.avg(-F.ln(F.least(F.greatest(pt, F.lit(EPS)), F.lit(1 - EPS))))).first()[0]
             if loss < best - 1e-12:
                 best, best_r, since = loss, r + 1, 0
@@ -420,7 +524,7 @@ def fit_boost(train: DataFrame, val: DataFrame | None = None, *, rounds: int = 2
 
 def boost_log_loss(model: Boost, df: DataFrame) -> float:
     out = model.transform(df.select(FEATURES, LABEL))
-    pt = F.element_at(F.array(*[F.col(p) for p in P]), F.col(LABEL).cast("int") + 1)
+    pt = _true_prob([F.col(p) for p in prob_cols(model.k)])
     return out.agg(F.avg(-F.ln(F.least(F.greatest(pt, F.lit(EPS)), F.lit(1 - EPS))))).first()[0]
 
 
@@ -430,15 +534,18 @@ def boost_log_loss(model: Boost, df: DataFrame) -> float:
 class Stacked:
     """Base models' probabilities -> balanced logistic meta model."""
     bases: list[object]
-    meta: SparkProb
+    meta: SparkProb | None
+    k: int
 
     def meta_features(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.functions import array_to_vector
         out = df
         cols = []
         for j, b in enumerate(self.bases):
-            out = b.transform(out).withColumns({f"_s{j}_{c}": F.col(P[c]) for c in range(K)}).drop(*P, "pred")
-            cols += [f"_s{j}_{c}" for c in range(K)]
+            own = prob_cols(b.k)
+            out = b.transform(out).withColumns({f"_s{j}_{c}": F.col(own[c]) if c < b.k else F.lit(0.0)
+                                                for c in range(self.k)}).drop(*own, "pred")
+            cols += [f"_s{j}_{c}" for c in range(self.k)]
         return out.withColumn("_meta", array_to_vector(F.array(*[F.col(c) for c in cols]))).drop(*cols)
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -450,14 +557,17 @@ def fit_stacking(train: DataFrame, fold: Column, base_fits: Sequence, k: int = 5
     """Out-of-fold probabilities of each base (contiguous stratified folds),
     a balanced logistic meta model on them, bases refit on all train rows."""
     t = train.withColumn("_fold", fold).checkpoint()  # fold ids computed once
+    classes = n_classes(t)
+
     def fold_oof(f):
         tr, ho = t.where(F.col("_fold") != f), t.where(F.col("_fold") == f)
         fitted = [fit(tr) for fit in base_fits]
-        return Stacked(fitted, None).meta_features(ho).select("_meta", LABEL).checkpoint()
+        return Stacked(fitted, None, classes).meta_features(ho).select("_meta", LABEL).checkpoint()
 
     oof_parts = pmap(fold_oof, range(k), workers=k)
     oof = oof_parts[0]
     for p in oof_parts[1:]:
         oof = oof.unionByName(p)
     meta = fit_logreg(oof.withColumnRenamed("_meta", FEATURES), C=1.0)
-    return Stacked(pmap(lambda fit: fit(train), base_fits, workers=len(base_fits)), meta)
+    full = t.drop("_fold")
+    return Stacked(pmap(lambda fit: fit(full), base_fits, workers=len(base_fits)), meta, classes)

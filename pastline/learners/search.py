@@ -16,24 +16,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pastline.learners.data import LABEL, fold_frames
-from pastline.learners.models import P
+from pastline.learners.models import prob_cols
 from pastline.learners.parallel import pmap
 from pastline.operators import metrics as M
 
 
 def evaluate(model, df: DataFrame, *, with_probs: bool = True) -> dict:
-    """V5..V8 on one frame: accuracy, macro F1, recall of D, kappa, macro
-    AUC and log loss (three aggregates over the scored rows)."""
-    scored = model.transform(df).select(LABEL, *P, "pred").withColumn(LABEL, F.col(LABEL).cast("int"))
-    counts = M.confusion_counts(scored)
-    s = M.summary(counts).first()
-    pc = {r["cls"]: r for r in M.per_class(counts).collect()}
-    out = {"f1_macro": s["f1_macro"], "accuracy": s["accuracy"], "kappa": s["kappa"],
-           "recall_D": float(pc[1]["recall"]) if 1 in pc else 0.0}
-    if with_probs:
-        out["roc_auc"] = M.auc_macro(M.auc_ovr(scored, label=LABEL, p_cols=P)).first()[0]
-        out["log_loss"] = M.log_loss(scored, label=LABEL, p_cols=P).first()[0]
-    return out
+    """V5..V8 on one frame: accuracy, macro F1, recall of class 1 (the draw),
+    kappa, macro AUC and log loss. The rows are scored once and kept for the
+    aggregates; the class table comes from their confusion counts."""
+    names = prob_cols(model.k)
+    scored = model.transform(df).select(F.col(LABEL).cast("int").alias(LABEL), *names, "pred").persist()
+    try:
+        counts = M.confusion_counts(scored)
+        s = M.summary(counts).first()
+        recall = M.per_class(counts).where(F.col("cls") == 1).select("recall").first()
+        out = {"f1_macro": s["f1_macro"], "accuracy": s["accuracy"], "kappa": s["kappa"],
+               "recall_D": float(recall[0]) if recall else 0.0}
+        if with_probs:
+            out["roc_auc"] = M.auc_macro(M.auc_ovr(scored, label=LABEL, p_cols=names)).first()[0]
+            out["log_loss"] = M.log_loss(scored, label=LABEL, p_cols=names).first()[0]
+        return out
+    finally:
+        scored.unpersist()
 
 
 def macro_f1(model, df: DataFrame) -> float:

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pastline.learners.data import FEATURES, LABEL
-from pastline.learners.models import P
+from pastline.learners.models import prob_cols
 from pastline.operators import metrics as M
-from pastline.operators.stats import value_prefix
+from pastline.operators.history import dense_order
+from pastline.sources.scratch import stored
 
 
 def _replace_at(arr, idx, val):
@@ -24,26 +25,21 @@ def _replace_at(arr, idx, val):
 def permutation_importance(model, df: DataFrame, *, id_col: str, names: Sequence[str], repeats: int = 5,
                            seed: int = 42) -> DataFrame:
     """Drop in macro F1 when one column is shuffled, mean and deviation
-    over repeats. A shuffle is a join of the row order with a hash order
-    (ranks from bucketed prefix counts), then every (repeat, column) copy is
+    over repeats. A shuffle pairs the order of the ids with an order by a hash
+    (ids break ties, so every row has exactly one donor in each repeat; ids
+    must differ, of any ordered type), then every (repeat, column) copy is
     scored in a single batch."""
     d = df.select(id_col, F.col(LABEL).cast("int").alias(LABEL), vector_to_array(FEATURES).alias("_a"))
     base = M.summary(M.confusion_counts(model.transform(df.select(FEATURES, LABEL))
                                         .select(F.col(LABEL).cast("int").alias(LABEL), "pred"))).first()["f1_macro"]
-    pos = value_prefix(d.select(F.lit(0).alias("_k"), F.col(id_col).cast("double").alias("_v")),
-                       keys=["_k"], value="_v").select(F.col("_v").alias("_id"), F.col("before_n").alias("_pos"))
-    reps = d.select(id_col, F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
-    hashed = reps.select("_r", id_col, F.xxhash64(F.col(id_col), F.col("_r"), F.lit(seed)).cast("double").alias("_h"))
-    hpos = value_prefix(hashed.select("_r", "_h"), keys=["_r"], value="_h").select("_r", "_h",
-                                                                                    F.col("before_n").alias("_hp"))
-    perm = (hashed.join(hpos, ["_r", "_h"])
-            .join(pos, F.col(id_col).cast("double") == F.col("_id")).select("_r", id_col, "_hp"))
-    # row at position p takes its donor from the row whose hash-rank is p
-    donor = (perm.join(pos.withColumnRenamed("_pos", "_hp").withColumnRenamed("_id", "_did"), "_hp")
-             .join(d.select(F.col(id_col).cast("double").alias("_did"), F.col("_a").alias("_da")), "_did")
-             .select("_r", "_hp", "_da"))
-    own = d.join(pos, F.col(id_col).cast("double") == F.col("_id")).select(id_col, LABEL, "_a", "_pos")
-    pairs = own.join(donor, own["_pos"] == donor["_hp"]).drop("_hp")
+    own = stored(dense_order(d, time=id_col, tie=[], out="_pos"), "own-order")
+    n = own.count()
+    reps = own.select(id_col, F.col("_a").alias("_da"), F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("_r"))
+    reps = reps.withColumn("_h", F.xxhash64(F.col(id_col), F.col("_r"), F.lit(seed)))
+    # each repeat holds n rows, so a row's place in its repeat is its place among all less the repeats before
+    donor = dense_order(reps, time="_r", tie=["_h", id_col], out="_hp")
+    donor = donor.select("_r", (F.col("_hp") - F.col("_r") * F.lit(n)).alias("_pos"), "_da")
+    pairs = own.join(donor, "_pos")
     k = len(names)
     copies = pairs.select(LABEL, "_r", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_c"), "_a", "_da")
     copies = copies.select(LABEL, "_r", "_c", array_to_vector(_replace_at(F.col("_a"), F.col("_c"),
@@ -82,19 +78,21 @@ def shapley_sampled(model, rows: DataFrame, baseline: Sequence[float], *, id_col
         F.array_position(F.slice(F.col("_o"), 1, F.col("_s")), j) > 0, F.col("_x")[j]).otherwise(base[j]))
     pts = steps.select(id_col, "_m", "_s", F.when(F.col("_s") > 0, F.col("_o")[F.col("_s") - 1]).alias("_feat"),
                        array_to_vector(F.when(F.col("_s") == 0, base).otherwise(revealed)).alias(FEATURES))
-    sc = model.transform(pts).select(id_col, "_m", "_s", "_feat", *P)
+    probs = prob_cols(model.k)
+    sc = model.transform(pts).select(id_col, "_m", "_s", "_feat", *probs)
     from pyspark.sql import Window
     w = Window.partitionBy(id_col, "_m").orderBy("_s")  # d+1 rows per (row, permutation)
-    contrib = sc.select(id_col, "_m", "_feat", *[(F.col(p) - F.lag(p).over(w)).alias(f"c_{p}") for p in P])
+    contrib = sc.select(id_col, "_m", "_feat", *[(F.col(p) - F.lag(p).over(w)).alias(f"c_{p}") for p in probs])
     contrib = contrib.where(F.col("_feat").isNotNull())
     nm = F.create_map(*[F.lit(x) for i, n in enumerate(names) for x in (i, n)])
-    per_row = contrib.groupBy(id_col, "_feat").agg(*[F.avg(f"c_{p}").alias(f"phi_{p}") for p in P])
-    return per_row.select(id_col, F.element_at(nm, F.col("_feat")).alias("feature"), *[f"phi_{p}" for p in P])
+    per_row = contrib.groupBy(id_col, "_feat").agg(*[F.avg(f"c_{p}").alias(f"phi_{p}") for p in probs])
+    return per_row.select(id_col, F.element_at(nm, F.col("_feat")).alias("feature"), *[f"phi_{p}" for p in probs])
 
 
 def shapley_summary(phi: DataFrame, top: int = 15) -> DataFrame:
     """Mean |value| per feature, averaged over classes; top features."""
-    mean_abs = sum((F.avg(F.abs(F.col(f"phi_{p}"))) for p in P), F.lit(0.0)) / len(P)
+    values = [c for c in phi.columns if c.startswith("phi_")]
+    mean_abs = sum((F.avg(F.abs(F.col(c))) for c in values), F.lit(0.0)) / len(values)
     return phi.groupBy("feature").agg(mean_abs.alias("mean_abs_shap")).orderBy(F.desc("mean_abs_shap"),
                                                                               "feature").limit(top)
 

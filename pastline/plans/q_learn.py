@@ -50,12 +50,9 @@ def _row(spark, name: str, m: dict, **extra) -> DataFrame:
 
 
 def _fit_eval(spark, sf_dir, name, fit, **extra):
-    import time
     x, names, _ = learn_data(spark, sf_dir)
-    t0 = time.perf_counter()
     model = fit(_split(x, "train"))
-    secs = time.perf_counter() - t0
-    return _row(spark, name, {**V.evaluate(model, _split(x, "val")), "fit_seconds": secs}, **extra)
+    return _row(spark, name, V.evaluate(model, _split(x, "val")), **extra)
 
 
 _LABELED = S.prepare_sql() + """
@@ -185,13 +182,9 @@ def calibrated(spark, sf_dir):
 def _boost_query(preset: str):
     def q(spark, sf_dir):
         x, _, _ = learn_data(spark, sf_dir)
-        import time
         kw = L.BOOST_PRESETS[preset]
-        t0 = time.perf_counter()
         m, kept = L.fit_boost(_split(x, "train"), _split(x, "val"), rounds=12, early_stop=5, **kw)
-        secs = time.perf_counter() - t0
-        return _row(spark, f"boost_{preset}", {**V.evaluate(m, _split(x, "val")), "fit_seconds": secs},
-                    rounds_kept=kept)
+        return _row(spark, f"boost_{preset}", V.evaluate(m, _split(x, "val")), rounds_kept=kept)
     return q
 
 
@@ -289,8 +282,7 @@ def _baseline(x, names):
 def shapley_sampled(spark, sf_dir):
     x, names, _ = learn_data(spark, sf_dir)
     m = L.fit_tree(_split(x, "train"), max_depth=5, min_leaf=50)
-    rows = D.uniform_sample(_split(x, "val"), 100, key="match_id", seed=7)
-    phi = X.shapley_sampled(m, rows, _baseline(x, names), id_col="match_id", names=names, permutations=6)
+    phi = X.shapley_sampled(m, _split(x, "val"), _baseline(x, names), id_col="match_id", names=names, permutations=6)
     return X.shapley_summary(phi, top=15)
 
 
@@ -312,10 +304,10 @@ def batch_score(spark, sf_dir):
     from pyspark.ml.classification import LogisticRegressionModel
     x, names, _ = learn_data(spark, sf_dir)
     m = L.fit_logreg(_split(x, "train"), C=0.1)
-    root = os.path.join(ensure_checkpoint_dir(spark), "models", "logreg")
+    root = os.path.join(ensure_checkpoint_dir(spark), "models", f"{spark.sparkContext.applicationId}-logreg")
     m.model.write().overwrite().save(root)
     state = S.prepared(spark, sf_dir).to_json()
     spark.createDataFrame([(state,)], "state string").write.mode("overwrite").text(root + "_prep")
     back = L.SparkProb(LogisticRegressionModel.load(root))
-    out = back.transform(_split(x, "test")).select("match_id", "split", *L.P, "pred")
-    return out.select("match_id", *[r6(p) for p in L.P], "pred")
+    out = back.transform(_split(x, "test"))
+    return out.select("match_id", *[r6(p) for p in L.prob_cols(back.k)], "pred")
