@@ -19,20 +19,31 @@ def swap_sides(df: DataFrame, *, id_col: str, a: str, b: str, side_cols: Sequenc
     return df.select(id_col, F.explode(F.array(side(0, a, b), side(1, b, a))).alias("s")).select(id_col, "s.*")
 
 
-def neutral_probability(scored: DataFrame, *, id_col: str, p_home: str = "p_home") -> DataFrame:
-    """P(first side wins) averaged over both orientations; pick the first
-    side when the neutral probability is at least one half."""
-    p_first = F.when(F.col("orientation") == 0, F.col(p_home)).otherwise(1 - F.col(p_home))
-    first = F.max(F.when(F.col("orientation") == 0, F.col("home")))
-    second = F.max(F.when(F.col("orientation") == 0, F.col("away")))
-    g = scored.groupBy(id_col).agg(F.avg(p_first).alias("p_neutral"), first.alias("side_a"), second.alias("side_b"))
-    return g.withColumn("pick", F.when(F.col("p_neutral") >= 0.5, F.col("side_a")).otherwise(F.col("side_b")))
+def neutral_probability(scored: DataFrame, *, id_col: str, away: str = "p0", draw: str = "p1",
+                        home: str = "p2") -> DataFrame:
+    """Class probabilities of a pair averaged over both orientations.
 
+    The first side wins as home side of orientation 0 and as away side of
+    orientation 1; the draw share is nobody's. The pick is the likelier
+    winner, the first side on ties."""
+    own = F.col("orientation") == 0
+    first = F.max(F.when(own, F.col("home")))
+    second = F.max(F.when(own, F.col("away")))
+    g = scored.groupBy(id_col).agg(F.avg(F.when(own, F.col(home)).otherwise(F.col(away))).alias("p_first"),
+                                   F.avg(F.when(own, F.col(away)).otherwise(F.col(home))).alias("p_second"),
+                                   F.avg(draw).alias("p_draw"), first.alias("side_a"), second.alias("side_b"))
+    return g.withColumn("pick", F.when(F.col("p_first") >= F.col("p_second"), F.col("side_a"))
+                        .otherwise(F.col("side_b")))
 
-def rating_scorer(home_rating: Column, away_rating: Column, scale: float = 400.0, home_edge: float = 60.0) -> Column:
-    """A fixed logistic scorer on the rating gap (stands in for a fitted model
-    in the oracle-checked query)."""
-    return 1 / (1 + F.pow(F.lit(10.0), -(home_rating + F.lit(home_edge) - away_rating) / F.lit(scale)))
+
+def rating_scorer(home_rating: Column, away_rating: Column, scale: float = 400.0, home_edge: float = 60.0,
+                  draw_margin: float = 100.0) -> dict[str, Column]:
+    """A fixed ordered-logit scorer on the rating gap (stands in for a fitted
+    model in the oracle-checked query): ``p0`` away, ``p1`` draw, ``p2`` home."""
+    gap = home_rating + F.lit(home_edge) - away_rating
+    p2 = 1 / (1 + F.pow(F.lit(10.0), (F.lit(draw_margin) - gap) / F.lit(scale)))
+    p0 = 1 / (1 + F.pow(F.lit(10.0), (F.lit(draw_margin) + gap) / F.lit(scale)))
+    return {"p0": p0, "p1": F.greatest(1 - p0 - p2, F.lit(0.0)), "p2": p2}
 
 
 def period_totals(contest: DataFrame, *, home: str = "home", away: str = "away", home_score: str = "home_score",

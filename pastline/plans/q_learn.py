@@ -63,7 +63,7 @@ _LABELED = S.prepare_sql() + """
 # ------------------------------------------------------------------ L1, M10, V1, L2
 
 @query("majority", "L1 V5", sql=_LABELED + """
-, mj as (select arg_max(label, n) as m from (select label, count(*) as n from tl where split = 'train' group by label)),
+, mj as (select label as m from tl where split = 'train' group by label order by count(*) desc, label limit 1),
 v as (select 1 as one, label, (select m from mj) as pred from tl where split = 'val')""" + _summary_sql("v", "one") + """
 select round(f1_macro, 6) as f1_macro, round(accuracy, 6) as accuracy, cast(n as bigint) as n from summ""")
 def majority(spark, sf_dir):

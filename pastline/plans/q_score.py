@@ -20,20 +20,22 @@ o as (
   select match_id, 0 as orientation, home as h, away as a, home_rating as rh, away_rating as ra, home as fa, away as fb from t
   union all
   select match_id, 1, away, home, away_rating, home_rating, home, away from t),
-s as (select *, 1 / (1 + pow(10.0, -(rh + 60.0 - ra) / 400.0)) as p_home from o)
-select match_id,
-       round(avg(case when orientation = 0 then p_home else 1 - p_home end), 6) as p_neutral,
-       max(fa) as side_a, max(fb) as side_b,
-       case when avg(case when orientation = 0 then p_home else 1 - p_home end) >= 0.5 then max(fa) else max(fb) end
-         as pick
-from s group by match_id""")
+w as (select *, 1 / (1 + pow(10.0, (5000.0 - (rh + 60.0 - ra)) / 20000.0)) as p2,
+              1 / (1 + pow(10.0, (5000.0 + (rh + 60.0 - ra)) / 20000.0)) as p0 from o),
+s as (select match_id, max(fa) as side_a, max(fb) as side_b,
+             avg(case when orientation = 0 then p2 else p0 end) as p_first,
+             avg(case when orientation = 0 then p0 else p2 end) as p_second, avg(greatest(1 - p0 - p2, 0)) as p_draw
+      from w group by match_id)
+select match_id, round(p_first, 6) as p_first, round(p_second, 6) as p_second, round(p_draw, 6) as p_draw,
+       side_a, side_b, case when p_first >= p_second then side_a else side_b end as pick
+from s""")
 def neutral_probability(spark, sf_dir):
     f = S.features(spark, sf_dir).where((F.col("split") == "test") & F.col("home_rating").isNotNull()
                                         & F.col("away_rating").isNotNull())
     sw = SC.swap_sides(f, id_col="match_id", a="home", b="away", side_cols=[("home_rating", "away_rating")])
-    scored = sw.withColumn("p_home", SC.rating_scorer(F.col("home_0"), F.col("away_0")))
+    scored = sw.withColumns(SC.rating_scorer(F.col("home_0"), F.col("away_0"), scale=20000.0, draw_margin=5000.0))
     out = SC.neutral_probability(scored, id_col="match_id")
-    return out.select("match_id", r6("p_neutral"), "side_a", "side_b", "pick")
+    return out.select("match_id", r6("p_first"), r6("p_second"), r6("p_draw"), "side_a", "side_b", "pick")
 
 
 @query("totals_to_features", "I3", sql=f"""

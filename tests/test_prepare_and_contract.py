@@ -46,3 +46,26 @@ def test_driver_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["match_id", "home_gf5", "home_ga5", "away_gf5", "away_ga5"]
+
+
+def test_neutral_probability_leaves_the_draw_to_nobody(spark):
+    from pastline.operators import score as SC
+    rows = [(1, 0, "a", "b", 0.2, 0.3, 0.5), (1, 1, "b", "a", 0.3, 0.3, 0.4)]
+    r = SC.neutral_probability(spark.createDataFrame(
+        rows, "id int, orientation int, home string, away string, p0 double, p1 double, p2 double"), id_col="id").first()
+    assert (r["p_first"], r["p_second"], r["p_draw"]) == pytest.approx((0.4, 0.3, 0.3)) and r["pick"] == "a"
+
+
+def test_register_replaces_and_keeps(spark):
+    from pastline.operators import metrics as M
+    old = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "model string, score double")
+    new = spark.createDataFrame([("b", 5.0, "x"), ("c", 3.0, "y")], "model string, score double, note string")
+    got = {tuple(r) for r in M.register(M.register(None, old), new).collect()}
+    assert got == {("a", 1.0, None), ("b", 5.0, "x"), ("c", 3.0, "y")}
+
+
+def test_a_model_without_a_validation_row_is_proposed_by_its_test_score(spark):
+    from pastline.operators import metrics as M
+    t = spark.createDataFrame([("v", "ensemble", 0.4, 0.9), ("w", "ensemble", None, 0.5)],
+                              "model string, family string, val_f1_macro double, test_f1_macro double")
+    assert M.proposed(t).first()["model"] == "w"
