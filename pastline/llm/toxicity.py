@@ -2,8 +2,8 @@
 
 Documents are TF-IDF vectors over a vocabulary of discriminating words; the
 ``K`` examples with the highest cosine vote on a document, each with its
-cosine as weight. The vote becomes a probability by an isotonic fit on
-labelled rows that are not examples.
+cosine as weight. The vote becomes a probability by an isotonic fit on all
+labelled rows of the sample; an example is scored as if it were none.
 
 What is bounded (documented parameters): at most ``PER_CLASS`` labelled rows
 of each class train the classifier, ``EXAMPLES`` of them per class are the
@@ -126,6 +126,7 @@ class BlockMaxIndex:
         lead = vectors.argmax(axis=1) if len(idf) else np.zeros(len(examples))
         order = np.lexsort((-vectors.max(axis=1, initial=0), lead))
         self.vectors = vectors[order]
+        self.place_of = np.argsort(order)  # of the examples as given
         self.ids = np.array([e[0] for e in examples], np.int64)[order]
         self.toxic = np.array([e[1] for e in examples], np.float64)[order]
         starts = np.arange(0, len(examples), block)
@@ -135,8 +136,8 @@ class BlockMaxIndex:
         w = (1 + np.log(np.array(tf, np.float32))) * self.idf[term]
         return w / max(float(np.sqrt((w * w).sum())), 1e-12)
 
-    def nearest(self, term: list[int], tf: list[int], k: int = K) -> tuple[np.ndarray, np.ndarray]:
-        """Exact top k by cosine above zero: (places, cosines), ties by place."""
+    def nearest(self, term: list[int], tf: list[int], k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """Exact top k by cosine above zero: (places, cosines), ties by place; the example at ``without`` is no candidate."""
         q = self.weights(term, tf)
         bound = q @ self.bound[term]
         place, score = np.empty(0, np.int64), np.empty(0, np.float32)
@@ -146,8 +147,8 @@ class BlockMaxIndex:
             lo = b * self.block
             s = self.vectors[lo:lo + self.block, term] @ q
             place, score = np.concatenate([place, np.arange(lo, lo + len(s))]), np.concatenate([score, s])
-            best = np.lexsort((place, -score))[:k]
-            best = best[score[best] > 0]
+            best = np.lexsort((place, -score))
+            best = best[(score[best] > 0) & (place[best] != without)][:k]
             place, score = place[best], score[best]
         return place, score
 
@@ -197,14 +198,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, exa
     for _, doc_id, label, term, tf in known:  # 2 * per_class rows
         taken[label] += 1
         (index_rows if taken[label] <= examples else rest).append((doc_id, label, term, tf))
-    rest = rest or index_rows
     index = BlockMaxIndex(idf, index_rows)
+    # an example is scored without itself, so either class has rows here whatever the sizes
+    trial = [(*r[1:], int(at)) for r, at in zip(index_rows, index.place_of)] + [(*r[1:], -1) for r in rest]
     # weights restore the share of each class among all training labels
-    per = {c: sizes.get(c, 0) / max(1, sum(r[1] == c for r in rest)) for c in (0, 1)}
-    scale = max(1, len(rest)) / max(1.0, sum(per[r[1]] for r in rest))
+    per = {c: sizes.get(c, 0) / max(1, sum(r[0] == c for r in trial)) for c in (0, 1)}
+    scale = max(1, len(trial)) / max(1.0, sum(per[r[0]] for r in trial))
     votes, labels_, weights, none = [], [], [], [0.0, 0.0]
-    for _, label, term, tf in rest:
-        place, score = index.nearest(term, tf) if term else (np.empty(0), np.empty(0))
+    for label, term, tf, own in trial:
+        place, score = index.nearest(term, tf, without=own) if term else (np.empty(0), np.empty(0))
         if len(place):
             votes.append(index.vote(place, score))
             labels_.append(label)

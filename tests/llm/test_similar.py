@@ -119,6 +119,17 @@ def test_toxicity_on_held_out_labels(spark):
     assert sum(p.predicted for p, y in test if y) >= 0.6 * sum(y for _, y in test)
 
 
+def test_toxicity_calibrates_on_both_classes(spark, documents):
+    """More clean labels than examples and fewer toxic ones: either class has to reach the calibration."""
+    draw = random.Random(3)
+    word = lambda: "".join(draw.choices("bcdfgklmnprst", k=7))
+    plain = [word() for _ in range(400)]
+    rows = [(i, " ".join([*draw.choices(plain, k=30), *(["vilest", "scumbags"] if i % 6 == 0 else [])]), "en", "s") for i in range(2700)]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    got = toxicity.toxicity(documents(rows), labels).collect()
+    assert all(r.predicted == (r.doc_id % 6 == 0) for r in got if r.held_out)
+
+
 def test_toxicity_edges(spark, documents, edge_rows):
     labels = spark.createDataFrame([(1, 1), (None, 1), (3, None), (3, 7)], "doc_id long, toxic int")
     got = toxicity.toxicity(documents(edge_rows), labels).collect()
