@@ -1,20 +1,21 @@
 """Toxicity from the nearest labelled examples.
 
-Documents are TF-IDF vectors over a vocabulary of discriminating words; the
+Documents are TF-IDF vectors over all words of the examples, each word weighed
+by how far it tells the examples' classes apart (no word is left out); the
 ``K`` examples with the highest cosine vote on a document, each with its
 cosine as weight. The vote becomes a probability by an isotonic fit on all
 labelled rows of the sample; an example is scored as if it were none.
 
 What is bounded (documented parameters): at most ``PER_CLASS`` labelled rows
 of each class train the classifier, ``EXAMPLES`` of them per class are the
-examples, and the vocabulary has at most ``VOCABULARY`` words. Everything
-else covers all data: document frequencies are counted over every document,
+examples; words of no example are not part of the vectors. Everything else
+covers all data: document frequencies are counted over every document,
 class sizes over every label, and every whole text is scored.
 
 The search is exact. Examples lie in blocks; for a word and a block the index
 keeps the largest weight, so the sum over a document's words bounds any score
-in the block. Blocks are visited by falling bound until the bound cannot
-change the top ``K``.
+in the block. The ``FIRST`` blocks by bound are scored, then at once all
+others whose bound can change the top ``K``.
 """
 
 from __future__ import annotations
@@ -25,13 +26,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pastline.llm.common import held_out, source_table, stored
 
-PER_CLASS, EXAMPLES, VOCABULARY = 4096, 1024, 4096
-K, BLOCK, CHI2, LIFT = 15, 32, 30.0, 25.0
+PER_CLASS, EXAMPLES = 4096, 1024
+K, BLOCK, FIRST = 15, 32, 4
+#: Weight of a word that says nothing of the classes; chance alone gives about 1.
+LEAST = 0.1
 THRESHOLD = 0.7
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,43 +60,36 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int) -> tuple
     return stored(rows, "toxic-sample"), sizes
 
 
-def vocabulary(sample: DataFrame, size: int) -> list[str]:
-    """The words that tell the classes apart: document frequencies by class, chi-square and lift.
-
-    Of copies and near copies one counts, else the rare words of a copied text
-    would all look telling: rows are thinned to one for each class and
-    smallest hash of a long word.
-    """
-    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def vocabulary(chosen: DataFrame) -> list[str]:
+    """All words of the examples (reads text), sorted."""
+    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            told = [set(_words(t)) for t in batch.column(1).to_pylist()]
-            least = [min((xxhash.xxh3_64_intdigest(w) for w in [w for w in x if len(w) >= 8] or x), default=0) >> 1 for x in told]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(least, pa.int64())], ["toxic", "text", "sketch"])
+            words = {w for t in batch.column(0).to_pylist() for w in _words(t)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string())], ["word"])
 
-    sample = stored(sample.select(F.col("toxic").cast("int"), "text").mapInArrow(sketched, "toxic int, text string, sketch long")
-                    .dropDuplicates(["toxic", "sketch"]), "toxic-thinned")
+    # the words of at most 2 * examples texts
+    return sorted(r[0] for r in chosen.select("text").mapInArrow(distinct_words, "word string").distinct().collect())
 
-    def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = list(set(_words(text)))
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([toxic] * len(words), pa.int32())], ["word", "toxic"])
 
-    n1, n0 = (F.lit(float(x or 0)) for x in sample.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first())
-    seen = sample.select("toxic", "text").mapInArrow(distinct_words, "word string, toxic int")
-    a, b = F.col("a"), F.col("b")  # documents of either class with the word
+def telling(size: int, examples: list[tuple[int, int, list[int], list[int]]], share: np.ndarray) -> np.ndarray:
+    """For each word the root of its chi-square over the examples' classes, ``LEAST`` at least; 1 with one class only.
+
+    ``share`` is what an example counts.
+    """
+    n1, n0 = (float(sum(x for x, e in zip(share, examples) if e[1] == c)) for c in (1, 0))
+    if not n1 or not n0:
+        return np.ones(size)
+    a, b = np.zeros(size), np.zeros(size)  # examples of either class with the word
+    for x, (_, toxic, term, _) in zip(share, examples):
+        (a if toxic else b)[term] += x
     n = n1 + n0
-    chi2 = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2)) / ((a + b) * (n - a - b) * n1 * n0)
-    # rates with half a document added, so that absent is not infinite
-    lift = ((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n0 + 1))
-    best = (seen.groupBy("word").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
-            .filter((a + b < n) & (n1 > 0) & (n0 > 0)).withColumn("chi2", chi2)
-            .filter((F.col("chi2") >= CHI2) & ((lift >= LIFT) | (lift <= 1 / LIFT))).orderBy(F.desc("chi2"), "word").limit(size))
-    return sorted(r[0] for r in best.select("word").collect())
+    spread = (a + b) * (n - a - b) * n1 * n0
+    root = np.sqrt(n / np.where(spread > 1e-9, spread, np.inf)) * np.abs(a * (n0 - b) - b * (n1 - a))
+    return np.maximum(root, LEAST)
 
 
 def counted(docs: DataFrame, words: list[str], *keep: str) -> DataFrame:
-    """The columns ``keep`` with ``term`` and ``tf``: the vocabulary's words in each whole text, sorted."""
+    """The columns ``keep`` with ``term`` and ``tf``: the words ``words`` in each whole text, sorted."""
     number = {w: i for i, w in enumerate(words)}
     schema = pa.schema([("term", pa.list_(pa.int32())), ("tf", pa.list_(pa.int32()))])
 
@@ -114,42 +110,85 @@ def counted(docs: DataFrame, words: list[str], *keep: str) -> DataFrame:
     return some.mapInArrow(run, f"{kept}, term array<int>, tf array<int>")
 
 
+def _ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers from each start to before its stop, one range after the other."""
+    size = stop - start
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 class BlockMaxIndex:
-    """Unit TF-IDF vectors of the examples, and per word and block of them the largest weight."""
+    """Unit TF-IDF vectors of the examples, and per word and block of them the largest weight, both sparse."""
 
     def __init__(self, idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]], block: int = BLOCK):
         self.idf, self.block = idf.astype(np.float32), block
-        vectors = np.zeros((len(examples), len(idf)), np.float32)
-        for i, (_, _, term, tf) in enumerate(examples):
-            vectors[i, term] = self.weights(term, tf)
+        rows = [(np.array(term, np.int32), self.weights(term, tf)) for _, _, term, tf in examples]
         # like examples side by side, so that bounds are tight: by strongest word, then strength
-        lead = vectors.argmax(axis=1) if len(idf) else np.zeros(len(examples))
-        order = np.lexsort((-vectors.max(axis=1, initial=0), lead))
-        self.vectors = vectors[order]
+        lead = [int(t[w.argmax()]) if len(t) else -1 for t, w in rows]
+        order = np.lexsort(([-w.max(initial=0) for _, w in rows], lead)).astype(np.int64)
         self.place_of = np.argsort(order)  # of the examples as given
         self.ids = np.array([e[0] for e in examples], np.int64)[order]
         self.toxic = np.array([e[1] for e in examples], np.float64)[order]
-        starts = np.arange(0, len(examples), block)
-        self.bound = np.maximum.reduceat(self.vectors, starts, axis=0).T.copy() if len(examples) else np.zeros((len(idf), 0), np.float32)
+        term = np.concatenate([np.empty(0, np.int32), *(rows[i][0] for i in order)])
+        place = np.repeat(np.arange(len(examples)), [len(rows[i][0]) for i in order])
+        weight = np.concatenate([np.empty(0, np.float32), *(rows[i][1] for i in order)])
+        self.blocks = max(1, -(-len(examples) // block))
+        #: Examples with a word.
+        self.examples_with = np.bincount(term, minlength=len(idf))
+        # postings by word and place; those of a word in a block are a pair
+        by_word = np.lexsort((place, term))
+        self.term, self.place, self.weight = term[by_word], place[by_word], weight[by_word]
+        pair, self.pair_at = np.unique(self.term.astype(np.int64) * self.blocks + self.place // block, return_index=True)
+        self.most = np.maximum.reduceat(self.weight, self.pair_at) if len(pair) else np.empty(0, np.float32)
+        self.pair_at = np.append(self.pair_at, len(self.term))
+        self.pair_block = pair % self.blocks
+        self.pairs_of = np.searchsorted(pair, np.arange(len(idf) + 1) * self.blocks)
+
+    @property
+    def vectors(self) -> np.ndarray:
+        """The examples as a full matrix."""
+        out = np.zeros((len(self.ids), len(self.idf)), np.float32)
+        out[self.place, self.term] = self.weight
+        return out
 
     def weights(self, term: list[int], tf: list[int]) -> np.ndarray:
-        w = (1 + np.log(np.array(tf, np.float32))) * self.idf[term]
+        w = (1 + np.log(np.array(tf, np.float32))) * self.idf[np.array(term, np.int32)]
         return w / max(float(np.sqrt((w * w).sum())), 1e-12)
 
     def nearest(self, term: list[int], tf: list[int], k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Exact top k by cosine above zero: (places, cosines), ties by place; the example at ``without`` is no candidate."""
+        """Exact top k by cosine above zero: (places, cosines), ties by place.
+
+        The example at ``without`` is no candidate, and words that only it has
+        are taken as unknown, as they would be without it.
+        """
+        term, tf = np.array(term, np.int32), np.array(tf, np.int32)
+        if without >= 0:
+            known = self.examples_with[term] > np.isin(term, self.term[self.place == without])
+            term, tf = term[known], tf[known]
         q = self.weights(term, tf)
-        bound = q @ self.bound[term]
-        place, score = np.empty(0, np.int64), np.empty(0, np.float32)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(score) == k and bound[b] < score[-1]:
-                break
-            lo = b * self.block
-            s = self.vectors[lo:lo + self.block, term] @ q
-            place, score = np.concatenate([place, np.arange(lo, lo + len(s))]), np.concatenate([score, s])
-            best = np.lexsort((place, -score))
-            best = best[(score[best] > 0) & (place[best] != without)][:k]
-            place, score = place[best], score[best]
+        start, stop = self.pairs_of[term], self.pairs_of[term + 1]
+        pair, q = _ranges(start, stop), np.repeat(q, stop - start)
+        block = self.pair_block[pair]
+        bound = np.bincount(block, self.most[pair] * q, minlength=self.blocks)
+        place, score = np.empty(0, np.int64), np.empty(0)
+        order = np.argsort(-bound, kind="stable")
+        for part in (order[:FIRST], order[FIRST:]):
+            # float32 sums: a bound is exact to far less than this
+            part = part[bound[part] > (score[-1] - 1e-5 if len(score) == k else 0)]
+            if len(part):
+                visited = np.zeros(self.blocks, bool)
+                visited[part] = True
+                some = visited[block]
+                start, stop = self.pair_at[pair[some]], self.pair_at[pair[some] + 1]
+                at = _ranges(start, stop)
+                every = np.bincount(self.place[at], self.weight[at] * np.repeat(q[some], stop - start), minlength=len(self.ids))
+                if without >= 0:
+                    every[without] = 0
+                fresh = np.flatnonzero(every)
+                if len(fresh) > k:
+                    fresh = fresh[every[fresh] >= np.partition(every[fresh], -k)[-k]]
+                place, score = np.concatenate([place, fresh]), np.concatenate([score, every[fresh]])
+                best = np.lexsort((place, -score))[:k]
+                place, score = place[best], score[best]
         return place, score
 
     def vote(self, place: np.ndarray, score: np.ndarray, k: int = K) -> float:
@@ -173,12 +212,12 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
 SCORED = "doc_id long, held_out boolean, score double, predicted int, vote double, evidence array<struct<doc_id: long, toxic: int, cosine: double>>"
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, examples: int = EXAMPLES, size: int = VOCABULARY) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, examples: int = EXAMPLES) -> DataFrame:
     """One row per row of ``docs`` (reads doc_id, text); ``labels`` has doc_id, toxic.
 
     Columns: doc_id, held_out, score, predicted, vote (null without a
     neighbour), evidence (the three nearest examples). A text without a word
-    of the vocabulary (null and empty ones too) has no neighbour and gets the
+    of an example (null and empty ones too) has no neighbour and gets the
     calibrated share of toxic rows among such texts. Without labelled rows of
     both classes every score is the share of toxic labels, 0 without any.
     Repeated rows score alike. The label of a row is never an input of a score
@@ -186,19 +225,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, exa
     """
     docs = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
     sample, sizes = labelled_sample(docs, labels, per_class)
-    words = vocabulary(sample, size)
+    first = Window.partitionBy("toxic").orderBy("place", "doc_id", F.xxhash64("text"))
+    # 2 * per_class rows
+    sample = stored(sample.withColumn("example", F.row_number().over(first) <= examples), "toxic-ranked")
+    words = vocabulary(sample.filter("example"))
     vectors = stored(counted(docs, words, "doc_id"), "toxic-vectors")
     n = vectors.count()
     df = np.zeros(len(words))
-    for term, c in vectors.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # one row per word of the vocabulary
+    for term, c in vectors.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # one row per word of the examples
         df[term] = c
     idf = np.log((n + 1) / (df + 1)) + 1
-    known = sorted(((r.place, r.doc_id, r.toxic, list(r.term), list(r.tf)) for r in counted(sample, words, "place", "doc_id", "toxic").collect()), key=lambda r: r[:2])
-    taken, index_rows, rest = {0: 0, 1: 0}, [], []
-    for _, doc_id, label, term, tf in known:  # 2 * per_class rows
-        taken[label] += 1
-        (index_rows if taken[label] <= examples else rest).append((doc_id, label, term, tf))
-    index = BlockMaxIndex(idf, index_rows)
+    known = counted(sample, words, "place", "doc_id", "toxic", "example").collect()  # 2 * per_class rows
+    known = sorted(((r.place, r.doc_id, r.toxic, list(r.term), list(r.tf), r.example) for r in known))
+    index_rows, rest = ([r[1:5] for r in known if r[5] == chosen] for chosen in (True, False))
+    index = BlockMaxIndex(idf * telling(len(words), index_rows, np.ones(len(index_rows))), index_rows)
     # an example is scored without itself, so either class has rows here whatever the sizes
     trial = [(*r[1:], int(at)) for r, at in zip(index_rows, index.place_of)] + [(*r[1:], -1) for r in rest]
     # weights restore the share of each class among all training labels
@@ -222,7 +262,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, exa
         for batch in batches:
             out = []
             for term, tf in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                key = np.array([term, tf], np.int32).tobytes()
+                key = xxhash.xxh3_128_digest(np.array([term, tf], np.int32).tobytes())
                 got = known_vectors.get(key)
                 if got is None:
                     place, score = index.nearest(term, tf) if term else (np.empty(0, np.int64), np.empty(0))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -130,6 +131,17 @@ def test_toxicity_calibrates_on_both_classes(spark, documents):
     assert all(r.predicted == (r.doc_id % 6 == 0) for r in got if r.held_out)
 
 
+def test_toxicity_finds_neighbours_by_any_word(spark, documents):
+    """No word is frequent in either class, yet a copy of an example has it as its nearest."""
+    draw = random.Random(4)
+    rows = [(i, " ".join("".join(draw.choices("bcdfgklmnprst", k=6)) for _ in range(20)), "en", "s") for i in range(60)]
+    told = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    copies = [(1000 + i, t, "en", "s") for i, t, *_ in told]
+    labels = spark.createDataFrame([(i, i % 2) for i, *_ in told], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(documents(told + copies), labels).collect()}
+    assert all(got[1000 + i].evidence[0].doc_id == i and got[1000 + i].evidence[0].cosine > 0.999 for i, *_ in told)
+
+
 def test_toxicity_edges(spark, documents, edge_rows):
     labels = spark.createDataFrame([(1, 1), (None, 1), (3, None), (3, 7)], "doc_id long, toxic int")
     got = toxicity.toxicity(documents(edge_rows), labels).collect()
