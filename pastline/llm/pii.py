@@ -9,7 +9,9 @@ domain), the script of a name and, by title, the gender of a given name.
 
 Distinctness is checked over the whole corpus: no two entities may share a
 surrogate and no surrogate may be an entity that occurs. An entity that loses
-such a check draws again, in rounds, until none does.
+such a check draws again, in rounds, until none does. Names and the local
+parts of e-mails get longer from draw ``LENGTHEN`` on, so that they never run
+out of values; numbers keep their length.
 
 Built-in functions only: one pass finds the entities, their distinct forms
 are checked, and one pass rewrites the texts.
@@ -24,6 +26,7 @@ from pastline.llm.common import LOWER, UPPER, bind, lower_ascii, stored, text_ke
 
 KEY = "surrogate-key-0"
 ROUNDS = 64
+LENGTHEN = 4
 # fixed values: what counts as an entity, in order of preference
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -39,6 +42,8 @@ NAME = r"(?<!\p{L})" + TITLE + r"\p{Lu}[\p{L}'-]+(?:\x20\p{Lu}[\p{L}'-]+)?"
 ENTITY = "|".join((EMAIL, IBAN, SSN, IP, CARD, PHONE, NAME))
 #: Letters that replace each other in names, by script and sound.
 SOUNDS = ("aeiou", "bcdfghjklmnpqrstvwxyz", "аеиоуыэюя", "бвгджзклмнпрстфхцчш", "αεηιουω", "βγδζθκλμνξπρστφχψ", "áéíóúàèìòùâêîôûäëïöü", "çñß")
+#: Letters that replace a name's other letters, by script; those of a script not listed become Latin.
+SCRIPTS = {"Cyrillic": SOUNDS[2] + SOUNDS[3], "Greek": SOUNDS[4] + SOUNDS[5], "Armenian": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփք", "Georgian": "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"}
 KINDS = ("email", "iban", "ssn", "ip", "card", "phone", "given_m", "given_f", "given", "surname")
 EMPTY = "array<struct<kind:string,canon:string>>"
 
@@ -87,6 +92,17 @@ def _restyled(s: Column, h: Column, classes: tuple[str, ...]) -> Column:
     return F.array_join(F.transform(F.split(s, ""), one), "")
 
 
+def _other_letters(s: Column, h: Column) -> Column:
+    """The letters of a name outside ``SOUNDS`` replaced by drawn ones of their script."""
+    def one(c: Column, i: Column) -> Column:
+        pick = lambda letters: F.substr(F.lit(letters), F.pmod(_byte(h, i), F.lit(len(letters))) + 1, F.lit(1))
+        out = pick(LOWER)
+        for script, letters in SCRIPTS.items():
+            out = F.when(c.rlike(r"^\p{Is" + script + "}$"), pick(letters)).otherwise(out)
+        return F.when(c.rlike(r"^\p{L}$") & (F.position(c, F.lit("".join(SOUNDS))) == 0), out).otherwise(c)
+    return F.array_join(F.transform(F.split(s, ""), one), "")
+
+
 def _luhn(body: Column) -> Column:
     """The check digit that follows ``body``."""
     n = F.length(body)
@@ -110,18 +126,23 @@ def surrogate(kind: Column, canon: Column, attempt: Column, key: str = KEY) -> C
         # one draw per domain, so that colleagues stay colleagues
         host_draw = _draw(F.lit("domain"), domain, F.lit(0), key)
         letters = (LOWER, "0123456789")
-        drawn = _restyled(canon, h, SOUNDS)
+        # other letters first: what replaces them is then drawn by sound, like the rest
+        drawn = _restyled(_other_letters(canon, h), h, SOUNDS)
+        size = F.greatest(F.lit(0), F.floor((attempt - LENGTHEN) / 4) + 1).cast("int")
+        hexes = F.right(h, size)
+        extra = F.when(size == 0, "").when(canon.rlike(r"\p{IsCyrillic}$"), F.translate(hexes, "0123456789abcdef", SOUNDS[3][:16])).otherwise(
+            F.translate(hexes, "0123456789abcdef", "bcdfghklmnprstvz"))
+        longer = lambda x: F.concat(F.substr(x, F.lit(1), F.length(x) - 1), extra, F.right(x, F.lit(1)))
         end = F.right(canon, F.lit(1))
-        gendered = F.concat(F.substr(drawn, F.lit(1), n - 1), F.when(F.position(end, F.lit(SOUNDS[2] + SOUNDS[3])) > 0, F.when(kind == "given_f", "а").otherwise("н"))
-                            .when(F.position(end, F.lit(SOUNDS[0] + SOUNDS[1])) > 0, F.when(kind == "given_f", "a").otherwise("o")).otherwise(F.right(drawn, F.lit(1))))
-        return (F.when(kind == "email", F.concat(_restyled(local, h, letters), F.lit("@"), _restyled(host, host_draw, letters), top))
+        gendered = lambda d: F.concat(F.substr(d, F.lit(1), n - 1), F.when(F.position(end, F.lit(SOUNDS[2] + SOUNDS[3])) > 0, F.when(kind == "given_f", "а").otherwise("н"))
+                            .when(F.position(end, F.lit(SOUNDS[0] + SOUNDS[1])) > 0, F.when(kind == "given_f", "a").otherwise("o")).otherwise(F.right(d, F.lit(1))))
+        return (F.when(kind == "email", F.concat(_restyled(local, h, letters), extra, F.lit("@"), _restyled(host, host_draw, letters), top))
                 .when(kind == "iban", F.concat(F.left(canon, F.lit(2)), _restyled(F.substr(canon, F.lit(3)), h, (UPPER, "0123456789"))))
                 .when(kind == "ssn", F.concat(F.lit("9"), F.substr(digits, F.lit(2), F.lit(8))))
                 .when(kind == "ip", F.concat_ws(".", octet(0, 223, 1), octet(1, 256, 0), octet(2, 256, 0), octet(3, 254, 1)))
                 .when(kind == "card", F.concat(body, _luhn(body)))
                 .when(kind == "phone", F.concat(lead, F.substr(some, F.lit(2))))
-                .when(kind.isin("given_m", "given_f"), gendered)
-                .otherwise(drawn))
+                .otherwise(bind(drawn, lambda d: bind(F.when(kind.isin("given_m", "given_f"), gendered(d)).otherwise(d), longer))))
     return bind(_draw(kind, canon, attempt, key), build)
 
 
@@ -176,7 +197,7 @@ def assignment(entities: DataFrame, key: str = KEY) -> DataFrame:
         if judged.filter("lost").isEmpty():
             return judged.filter("attempt > 0").select("kind", "canon", "attempt")
         now = judged.select("kind", "canon", (F.col("attempt") + F.col("lost").cast("int")).alias("attempt"))
-    raise ValueError(f"{ROUNDS} draws did not separate all entities of a kind; its format has too few values")
+    raise ValueError(f"{ROUNDS} draws did not separate all entities of a kind; its number format has too few values")
 
 
 def surrogate_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
@@ -185,7 +206,7 @@ def surrogate_pii(docs: DataFrame, key: str = KEY) -> DataFrame:
     Columns: doc_id, text (entities replaced), n_entities. Null texts stay
     null, texts without an entity stay as they are. Repeated rows are
     rewritten alike. Equal entities have equal surrogates in all documents and
-    unequal ones unequal surrogates; raises if a format has no room for that.
+    unequal ones unequal surrogates; raises if a number format has no room for that.
     """
     flat = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)), entities_of))
     found = stored(docs.select("doc_id", text_key().alias("text_key"), F.array_distinct(F.coalesce(flat, F.array().cast(EMPTY))).alias("found"))

@@ -205,6 +205,14 @@ def test_surrogates_stay_distinct(spark, documents):
     assert len(set(out)) == len(names) and not set(out) & set(names)
 
 
+def test_surrogates_never_run_out(documents):
+    """Letters outside the sound classes, and more two-letter names than there are two-letter surrogates."""
+    names = ["Mr Đỗ", "Mr Արամ"] + ["Mr " + a + b + " Lee" for a in "BCDFGH" for b in "aeiou"]
+    out = [r.text for r in pii.surrogate_pii(documents([(i, n, "en", "s") for i, n in enumerate(names)])).collect()]
+    assert len(set(out)) == len(names) and not set(out) & set(names)
+    assert not any(set("ĐđỗỖ") & set(t) for t in out) and any(re.fullmatch("Mr [Ա-Ֆ][ա-ֆ]{3}", t) for t in out)
+
+
 def test_surrogates_on_documents_and_edges(spark, documents, edge_rows):
     docs = {r.doc_id: r.text for r in source_table(spark, SF001, "documents", "doc_id", "text").collect()}
     mapped = {}
