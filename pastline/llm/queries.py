@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pastline.llm import bpe, exact_dedup, langid, minhash, packing, pii, quality, secrets, sharding, toxicity
+from pastline.llm import bpe, exact_dedup, langid, merkle, minhash, packing, pii, quality, secrets, sharding, simhash, spelling, toxicity
 from pastline.llm.common import source_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -30,12 +30,17 @@ QUERIES: dict[str, Builder] = {
     "op8_sharding": _documents(sharding.interleaved_shards, "doc_id", "text", "source"),
     "op9_pii_surrogates": _documents(pii.surrogate_pii, "doc_id", "text"),
     "op10_minhash_near_dedup": _documents(lambda d: minhash.near_dedup(d, words=2), "doc_id", "text"),
+    "op11_spelling_variants": _documents(spelling.spelling_variants, "doc_id", "text"),
+    "op12_simhash_near_dedup": _documents(simhash.simhash_near_dedup, "doc_id", "text"),
+    "op13_merkle_manifest": _documents(merkle.merkle_manifest, "doc_id", "source", "lang", "n_chars", "text"),
 }
 SQL: dict[str, str] = {
     "op2_quality_rules": quality.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_secret_scans": secrets.SQL,
     "op8_sharding": sharding.SQL,
+    "op11_spelling_variants": spelling.SQL,
+    "op13_merkle_manifest": merkle.SQL,
 }
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
