@@ -29,3 +29,13 @@ def apply_aliases(c: str | Column, aliases: Mapping[str, str]) -> Column:
 def entity_name(c: str | Column, aliases: Mapping[str, str]) -> Column:
     """Join key for entity names: aliases first, then normalisation."""
     return normalise_name(apply_aliases(c, aliases))
+
+
+def plain_feature(name: str | Column) -> Column:
+    """a design column's name without its kind (``num__``, ``flags__``, ``cat__``)."""
+    return F.regexp_replace(F.col(name) if isinstance(name, str) else name, "^(num|flags|cat)__", "")
+
+
+def feature_kind(name: str | Column) -> Column:
+    """The kind that a design column's name starts with; empty without one."""
+    return F.regexp_extract(F.col(name) if isinstance(name, str) else name, "^(num|flags|cat)__", 1)

@@ -6,10 +6,11 @@ broken by ``right_position`` (greatest position wins: "last in file
 order"). The last right row wins even when its value is null (the value is
 wrapped in a struct, so ``ignoreNulls`` skips only left rows).
 
-Plan: one union of both sides, one shuffle by ``(key, time chunk)``, a local
-running ``last`` inside each chunk, and a carry from earlier chunks built
-from a one-row-per-chunk summary. No per-key partition, no range join, no
-quadratic candidate set.
+Plan: one union of both sides, one shuffle by key and a running ``last``; the
+rows of keys with more than ``segment_rows`` of them are cut into segments by
+row count, with a carry from earlier segments built from a summary of one row
+per segment. No unbounded per-key partition, no range join, no quadratic
+candidate set.
 """
 
 from __future__ import annotations
@@ -19,15 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pastline.operators.scan import (
-    BEFORE, CHUNK, DAY_SECONDS, UPTO, chunk_col, chunk_window, join_carry, local_window,
-)
-from pastline.sources.scratch import stored
+from pastline.operators.scan import BEFORE, SEGMENT, SEGMENT_ROWS, UPTO, carry_window, in_order, local_window, scan
 
 
 def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: str,
               right_key: str, right_time: str, values: Sequence[str],
-              right_position: Sequence[str] = (), chunk_seconds: int = DAY_SECONDS,
+              right_position: Sequence[str] = (), segment_rows: int = SEGMENT_ROWS,
               out: str = "asof") -> DataFrame:
     """All left columns plus struct ``out`` with ``values`` of the matched right
     row (``out`` is null when the key has no right row at or before the time)."""
@@ -43,20 +41,26 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, left_time: st
         F.col(right_key).alias("_k"), rt_col.alias("_t"),
         F.lit(0).alias("_side"), pos.alias("_p"), F.struct(*[F.col(v) for v in values]).alias("_r")
     ).where(F.col("_k").isNotNull() & F.col("_t").isNotNull())  # matches nothing otherwise
-    u = l_part.unionByName(r_part, allowMissingColumns=True).withColumn(CHUNK, chunk_col("_t", chunk_seconds))
-
-    w = local_window(["_k"], [F.col("_t"), F.col("_side"), F.col("_p")]).rowsBetween(*UPTO)
-    local = u.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-    local = stored(local, "asof-local")  # read by the summary and the carry join
-    # one row per (key, chunk) - also for chunks with left rows only
-    summary = local.groupBy("_k", CHUNK).agg(
-        F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.struct("_t", "_p"))).alias("_last"))
-    carry = summary.select("_k", CHUNK, F.last("_last", ignorenulls=True).over(
-        chunk_window(["_k"]).rowsBetween(*BEFORE)).alias("_c"))
-    j = join_carry(local.where(F.col("_side") == 1), carry, ["_k"])
-    # a left row without key or time is kept and matches nothing
-    known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
-    return j.select("_l.*", F.when(known, F.coalesce("_m", "_c")).alias(out))
+    u = l_part.unionByName(r_part, allowMissingColumns=True)
+    order = in_order("_t", "_side", "_p")
+
+    def windows(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_m", F.last("_r", ignorenulls=True).over(local_window(["_k"], order).rowsBetween(*UPTO)))
+
+    def carries(local: DataFrame) -> DataFrame:
+        # the last right row of each segment, also of segments with left rows only
+        summary = local.groupBy("_k", SEGMENT).agg(
+            F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.struct("_t", "_p"))).alias("_last"))
+        return summary.select("_k", SEGMENT, F.last("_last", ignorenulls=True).over(
+            carry_window(["_k"]).rowsBetween(*BEFORE)).alias("_c"))
+
+    def finish(j: DataFrame) -> DataFrame:
+        # a left row without key or time is kept and matches nothing
+        known = F.col("_k").isNotNull() & F.col("_t").isNotNull()
+        return j.where(F.col("_side") == 1).select("_l.*", F.when(known, F.coalesce("_m", "_c")).alias(out))
+
+    return scan(u, ["_k"], order, windows=windows, carries=carries, empty={"_c": F.lit(None).cast(dict(u.dtypes)["_r"])},
+                finish=finish, segment_rows=segment_rows)
 
 
 def fill_from(existing: str | Column, joined: Column) -> Column:
@@ -75,13 +79,13 @@ def side_rows(df: DataFrame, *, id_col: str, time: str, sides: Sequence[tuple[st
 def asof_values(contest: DataFrame, ratings: DataFrame, *, id_col: str = "match_id",
                 time: str = "match_date", home: str = "home", away: str = "away",
                 r_key: str = "entity", r_time: str = "rating_date", r_value: str = "rating",
-                r_position: Sequence[str] = (), chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+                r_position: Sequence[str] = (), segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """J1 for both sides: one row per contest id with ``home_asof``, ``away_asof``
     (hash-partitioned by the id, ready for key joins)."""
     sides = side_rows(contest, id_col=id_col, time=time, sides=[("H", home), ("A", away)])
     m = asof_join(sides, ratings, left_key="key", left_time=time, right_key=r_key,
                   right_time=r_time, values=[r_value], right_position=r_position,
-                  chunk_seconds=chunk_seconds)
+                  segment_rows=segment_rows)
     return m.groupBy(id_col).agg(
         F.max(F.when(F.col("venue") == "H", F.col(f"asof.{r_value}"))).alias("home_asof"),
         F.max(F.when(F.col("venue") == "A", F.col(f"asof.{r_value}"))).alias("away_asof"))
@@ -91,13 +95,13 @@ def asof_fill(contest: DataFrame, ratings: DataFrame, *, id_col: str = "match_id
               time: str = "match_date", home: str = "home", away: str = "away",
               home_value: str = "home_rating", away_value: str = "away_rating",
               r_key: str = "entity", r_time: str = "rating_date", r_value: str = "rating",
-              r_position: Sequence[str] = (), chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+              r_position: Sequence[str] = (), segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """J1 + J2 for both sides: contest rows with ``{home,away}_asof`` (the
     as-of value) and the two value columns filled only where null."""
     sides = side_rows(contest, id_col=id_col, time=time, sides=[("H", home), ("A", away)])
     m = asof_join(sides, ratings, left_key="key", left_time=time, right_key=r_key,
                   right_time=r_time, values=[r_value], right_position=r_position,
-                  chunk_seconds=chunk_seconds)
+                  segment_rows=segment_rows)
     wide = m.groupBy(id_col).agg(
         F.max(F.when(F.col("venue") == "H", F.col(f"asof.{r_value}"))).alias("home_asof"),
         F.max(F.when(F.col("venue") == "A", F.col(f"asof.{r_value}"))).alias("away_asof"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 
@@ -198,3 +198,19 @@ def rate_table(df: DataFrame, *, x: Column, edges: Sequence[float], labels: Sequ
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """``value, n`` ordered by count desc."""
     return df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), col)
+
+
+def null_rates(grouped: GroupedData, cols: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """A5: rows and the % of nulls of each column per group (one partial aggregate)."""
+    n = F.count(F.lit(1))
+    return grouped.agg(n.alias("n_rows"), *[F.round(100.0 * (n - F.count(c)) / n, 6).alias(a) for c, a in zip(cols, names)])
+
+
+def feature_summary(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
+    """Per column the nulls, their % and the mean of the rest (one pass)."""
+    n = F.count(F.lit(1))
+    wide = df.agg(*[a for c in cols for a in (
+        (n - F.count(c)).alias(f"nulls__{c}"), (100.0 * (n - F.count(c)) / n).alias(f"pct__{c}"), F.avg(F.col(c).cast("double")).alias(f"mean__{c}"))])
+    long = _stack(wide, cols, ["nulls", "pct", "mean"])
+    return long.select("column_name", F.col("nulls").cast("bigint").alias("n_null"),
+                       F.round("pct", digits).alias("null_pct"), F.round("mean", digits).alias("mean"))

@@ -1,56 +1,94 @@
 """Skew-safe ordered scans ("segmented scans") for per-key running state.
 
 A window ``partitionBy(key).orderBy(time)`` sends every row of a key to one
-task; with 25 entities, one entity can hold a third of the table. Every
-running operator in this package therefore splits a key's timeline into
-time chunks and computes in two levels:
-
-1. a local window over ``(key, chunk)`` (bounded by the rows of one key in
-   one chunk of time), and
-2. a carry-in per ``(key, chunk)`` computed from a per-chunk summary with a
-   window over ``partitionBy(key).orderBy(chunk)``. The summary has one row
-   per non-empty (key, chunk), so its partitions grow with the time span,
-   not with the number of rows.
-
-The carry table is joined back on ``(key, chunk)``. The big side is already
-hash-partitioned (and sorted) by ``(key, chunk)`` from the local window, so
-the join only shuffles the small carry table; AQE may still turn it into a
-broadcast after measuring it.
+task, which is right for a key of a few thousand rows and wrong for one that
+holds a third of the table. So the rows per key are counted first:
+
+* a key of at most ``segment_rows`` rows is one segment: a plain window, one
+  shuffle, nothing stored and no summary;
+* the rows of the heavier keys are range-partitioned by (key, order) with
+  sampled bounds into segments of about ``segment_rows`` rows, whatever their
+  times are: a key that is hot within one day, or at one instant, is cut as
+  well. A local window runs over ``(key, segment)``, and a carry-in per
+  (key, segment) comes from a summary with one row per segment of a heavy
+  key, which is joined back (the planner broadcasts it where it is small).
+
+The counting pass is one partial aggregate; heavy keys, of which there are at
+most ``rows / segment_rows``, are stored and met by semi and anti joins.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK = "_chunk"
-DAY_SECONDS = 86400
+from pastline.sources.scratch import stored
+
+SEGMENT = "_segment"
+SEGMENT_ROWS = 1 << 16
 
 
-def chunk_col(time: str | Column, chunk_seconds: int = DAY_SECONDS) -> Column:
-    """Time chunk id: whole ``chunk_seconds`` periods since the epoch."""
-    t = F.col(time) if isinstance(time, str) else time
-    # seconds since 1970-01-01 on the wall clock (no session time zone involved)
-    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), t.cast("timestamp_ntz"))
-    return F.floor(secs / F.lit(chunk_seconds)).cast("bigint")
+def in_order(*cols: str) -> list[Column]:
+    """Ascending order of the columns, nulls last."""
+    return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def local_window(keys: list[str], order: list[str | Column]) -> WindowSpec:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+def local_window(keys: list[str], order: list[Column]) -> WindowSpec:
+    return Window.partitionBy(*keys, SEGMENT).orderBy(*order)
 
 
-def chunk_window(keys: list[str]) -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(F.col(CHUNK).asc_nulls_last())
+def carry_window(keys: list[str]) -> WindowSpec:
+    """Over the segments of a heavy key, in order."""
+    return Window.partitionBy(*keys).orderBy(SEGMENT)
 
 
-def join_carry(local: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """``local`` with its chunk's carry; null keys and the chunk of null times keep their rows."""
-    on = [*keys, CHUNK]
-    renamed = carry.withColumnsRenamed({c: f"_carry_{c}" for c in on})
+def _met(df: DataFrame, heavy: DataFrame, keys: list[str], how: str) -> DataFrame:
+    renamed = heavy.withColumnsRenamed({c: f"_heavy_{c}" for c in keys})
+    cond = F.lit(True)
+    for c in keys:
+        cond = cond & df[c].eqNullSafe(renamed[f"_heavy_{c}"])
+    return df.join(renamed, cond, how)
+
+
+def cut_by_rows(df: DataFrame, keys: list[str], order: list[Column], segment_rows: int = SEGMENT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """``df`` in two parts with a ``SEGMENT`` column: the light keys, each one
+    segment, and the heavy keys cut by row count (None without such)."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > segment_rows)
+    heavy = stored(counts, "heavy-keys")
+    total = heavy.agg(F.sum("_n")).first()[0]
+    whole = F.lit(0).alias(SEGMENT)
+    if not total:
+        return df.select("*", whole), None
+    heavy = heavy.drop("_n")
+    ranges = math.ceil(total / segment_rows) + 1
+    cut = _met(df, heavy, keys, "left_semi").repartitionByRange(ranges, *[F.col(c).asc_nulls_last() for c in keys], *order)
+    return _met(df, heavy, keys, "left_anti").select("*", whole), cut.withColumn(SEGMENT, F.spark_partition_id())
+
+
+def scan(df: DataFrame, keys: list[str], order: list[Column], *, windows: Callable[[DataFrame], DataFrame],
+         carries: Callable[[DataFrame], DataFrame], empty: dict[str, Column], finish: Callable[[DataFrame], DataFrame],
+         segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """A segmented scan: ``finish`` of the local ``windows`` and the carries.
+
+    ``carries`` maps the local rows of the heavy keys to one row per (key,
+    segment) with the carry columns; ``empty`` has their values where nothing
+    comes before. Building the result runs the counting job and, with heavy
+    keys, stores their local rows.
+    """
+    light, heavy = cut_by_rows(df, keys, order, segment_rows)
+    out = finish(windows(light).withColumns(empty))
+    if heavy is None:
+        return out
+    local = stored(windows(heavy), "segments")  # read by the summary and the carry join
+    on = [*keys, SEGMENT]
+    carry = carries(local).withColumnsRenamed({c: f"_carry_{c}" for c in on})
     cond = F.lit(True)
     for c in on:
-        cond = cond & local[c].eqNullSafe(renamed[f"_carry_{c}"])
-    return local.join(renamed, cond, "left").drop(*[f"_carry_{c}" for c in on])
+        cond = cond & local[c].eqNullSafe(carry[f"_carry_{c}"])
+    return out.unionByName(finish(local.join(carry, cond, "left").drop(*[f"_carry_{c}" for c in on])))
 
 
 BEFORE = (Window.unboundedPreceding, -1)

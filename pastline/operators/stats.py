@@ -3,10 +3,10 @@
 * Correlations are one aggregate of ``corr(a, b)`` per pair ``i < j``
   (Spark skips a row when either side is null: pairwise-complete).
 * Average ranks (W8) never sort a whole column in one task: values are
-  counted per distinct value inside equal-width value buckets; bucket
-  offsets come from a table with one row per bucket, and the running count
-  inside a bucket runs over distinct values only (ties, however hot,
-  collapse into one row).
+  counted per distinct value (ties, however hot, collapse into one row), the
+  counts are cut into sampled ranges of about equal size, and what lies below
+  a range comes from a table with one row per key and range. Where the values
+  lie makes no difference: one far value is one more row of the last range.
 * Percentiles are exact (``percentile``, linear interpolation).
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pastline.operators.profile import _stack
+from pastline.sources.scratch import stored
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -54,81 +55,113 @@ def point_biserial(df: DataFrame, cols: Sequence[str], flag: Column) -> DataFram
 
 
 def value_prefix(long: DataFrame, *, keys: Sequence[str], value: str, sums: Sequence[str] = (),
-                 buckets: int = 4096, keys_are_metadata: bool = True) -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Per key and distinct value: ``n`` rows, the sums of ``sums`` columns at
-    that value, and the same quantities summed over all strictly smaller
-    values (``before_n``, ``before_<s>``).
-
-    Values are placed in ``buckets`` equal-width buckets between the key's
-    min and max; bucket totals are prefix-summed over a table with one row
-    per bucket and the running sums inside a bucket run over distinct values
-    only, so neither a hot key nor a hot value lands in one task with all rows.
-
-    ``keys_are_metadata``: the keys are columns, pairs of columns or classes,
-    so the bounds table (one row per key) is bounded and broadcast; pass
-    False when keys come from the data (the join is then left to the planner).
+    that value, the same quantities summed over all strictly smaller values
+    (``before_n``, ``before_<s>``), and the key's rows ``total_n``.
+
+    The counts per (key, value) are range-partitioned by (key, value) with
+    sampled bounds and stored; equal values are one row, so they are in one
+    range, and a hot key is cut into many. The running sums inside a range
+    start from the sums of the key's ranges before, of which there are at
+    most ``ranges`` (the session's shuffle partitions otherwise) per key.
+    Keys may come from the data; rows with a null key are left out.
     """
     keys = list(keys)
-    bounds = long.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    b = long.join(F.broadcast(bounds) if keys_are_metadata else bounds, keys)
-    width = F.col("_hi") - F.col("_lo")
-    bucket = F.when(width > 0, F.least(F.floor((F.col(value) - F.col("_lo")) / width * buckets),
-                                       F.lit(buckets - 1))).otherwise(F.lit(0))
     cols = ["n", *sums]
-    vc = b.groupBy(*keys, bucket.alias("_b"), F.col(value)).agg(
+    counts = long.dropna(subset=keys).groupBy(*keys, value).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    bt = vc.groupBy(*keys, "_b").agg(*[F.sum(c).alias(f"_bt_{c}") for c in cols])
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(*BEFORE)
-    off = bt.select(*keys, "_b", *[F.coalesce(F.sum(f"_bt_{c}").over(wb), F.lit(0)).alias(f"_off_{c}")
-                                   for c in cols])
-    wv = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(*BEFORE)
-    within = vc.select("*", *[F.coalesce(F.sum(c).over(wv), F.lit(0)).alias(f"_cum_{c}") for c in cols])
-    return within.join(off, [*keys, "_b"]).select(
-        *keys, value, *cols, *[(F.col(f"_off_{c}") + F.col(f"_cum_{c}")).alias(f"before_{c}") for c in cols])
+    order = [*keys, value]
+    ranged = counts.repartitionByRange(ranges, *order) if ranges else counts.repartitionByRange(*order)
+    ranged = stored(ranged.withColumn("_range", F.spark_partition_id()), "value-ranges")
+    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    of_key = Window.partitionBy(*keys)
+    below = of_key.orderBy("_range").rowsBetween(*BEFORE)
+    totals = totals.select(*keys, "_range", F.sum("_t_n").over(of_key).alias("total_n"), *[
+        F.coalesce(F.sum(f"_t_{c}").over(below), F.lit(0)).alias(f"_off_{c}") for c in cols])
+    inside = Window.partitionBy("_range", *keys).orderBy(value).rowsBetween(*BEFORE)
+    within = ranged.select("*", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_cum_{c}") for c in cols])
+    return within.join(totals, [*keys, "_range"]).select(
+        *keys, value, *cols, *[(F.col(f"_off_{c}") + F.col(f"_cum_{c}")).alias(f"before_{c}") for c in cols], "total_n")
 
 
 def average_ranks(long: DataFrame, *, keys: Sequence[str], value: str = "v",
-                  buckets: int = 4096) -> DataFrame:
+                  ranges: int | None = None) -> DataFrame:
     """Average rank (ties share the mean of their positions, 1-based) of
     every distinct ``value`` within each key: ``keys..., value, n, rank``."""
-    vp = value_prefix(long, keys=keys, value=value, buckets=buckets)
+    vp = value_prefix(long, keys=keys, value=value, ranges=ranges)
     return vp.select(*keys, value, "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank"))
 
 
-def spearman_pairs(df: DataFrame, cols: Sequence[str], buckets: int = 4096) -> DataFrame:
-    """ST2: Spearman r per pair, ranks recomputed on each pair's complete rows."""
+def null_masks(df: DataFrame, cols: Sequence[str]) -> tuple[dict[str, str], set[tuple[str, str]]]:
+    """Each column's representative among the columns with nulls in the same
+    rows, and the pairs (a, b) of representatives with ``a`` present in every
+    row in which ``b`` is. One aggregate; its one row has a count per ordered
+    pair of columns (schema metadata)."""
+    ordered = list(itertools.permutations(cols, 2))
+    row = df.agg(*[F.count_if(F.col(a).isNull() & F.col(b).isNotNull()).alias(f"m{i}")
+                   for i, (a, b) in enumerate(ordered)]).first()
+    covers = {p for i, p in enumerate(ordered) if row[i] == 0}  # a is present wherever b is
+    of: dict[str, str] = {}
+    for c in cols:
+        of[c] = next((of[x] for x in of if (x, c) in covers and (c, x) in covers), c)
+    return of, {(of[a], of[b]) for a, b in covers if of[a] != of[b]}
+
+
+def spearman_pairs(df: DataFrame, cols: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """ST2: Spearman r per pair, ranks taken on each pair's complete rows.
+
+    The ranks of a column depend on its partner only through the rows in
+    which the partner is null. So columns are grouped by their null rows, and
+    a column is ranked once per mask: once for all partners that are present
+    wherever it is, and once per other group. The table is copied once, a
+    cell per (column, mask); the ranks meet their rows again by value, and
+    all pairs are one aggregate over rows of ranks.
+    """
+    cols = list(cols)
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "a string, b string, rho double")
+    of, covers = null_masks(df, cols)
+    free = lambda a, b: of[a] == of[b] or (of[b], of[a]) in covers  # noqa: E731 - b's nulls take no row from a
+    cells: dict[tuple[str, str], int] = {}
+    for a, b in itertools.permutations(cols, 2):
+        cells.setdefault((a, "" if free(a, b) else of[b]), len(cells))
+    rows = stored(df.select(F.monotonically_increasing_id().alias("_id"), *[F.col(c).cast("double").alias(c) for c in cols]), "rank-rows")
+    long = rows.select("_id", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("cell"), (F.col(a) if not m else F.when(F.col(m).isNotNull(), F.col(a))).alias("v"))
+        for (a, m), i in cells.items()])).alias("s")).select("_id", "s.*").where(F.col("v").isNotNull())
+    ranks = average_ranks(long.select("cell", "v"), keys=["cell"], value="v", ranges=ranges).select("cell", "v", "rank")
+    wide = long.join(ranks, ["cell", "v"]).groupBy("_id").agg(
+        *[F.max(F.when(F.col("cell") == i, F.col("rank"))).alias(f"r{i}") for i in cells.values()])
+    rank = lambda a, b: F.col(f"r{cells[a, '' if free(a, b) else of[b]]}")
     ps = pairs(cols)
-    rows = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("va"), F.col(b).cast("double").alias("vb"))
-        for i, (a, b) in enumerate(ps)])).alias("s")).select("s.*").where(
-        F.col("va").isNotNull() & F.col("vb").isNotNull())
-    long = rows.select("pair", F.explode(F.array(
-        F.struct(F.lit("a").alias("side"), F.col("va").alias("v")),
-        F.struct(F.lit("b").alias("side"), F.col("vb").alias("v")))).alias("s")).select("pair", "s.*")
-    rk = average_ranks(long, keys=["pair", "side"], value="v", buckets=buckets)
-    ra = rk.where(F.col("side") == "a").select("pair", F.col("v").alias("va"), F.col("rank").alias("ra"))
-    rb = rk.where(F.col("side") == "b").select("pair", F.col("v").alias("vb"), F.col("rank").alias("rb"))
-    j = rows.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"])
-    r = j.groupBy("pair").agg(F.corr("ra", "rb").alias("rho"))
-    names = F.create_map(*[F.lit(x) for i, (a, b) in enumerate(ps) for x in (i, f"{a}|{b}")])
-    nm = F.element_at(names, F.col("pair"))
-    return r.select(F.split(nm, r"\|")[0].alias("a"), F.split(nm, r"\|")[1].alias("b"), "rho")
+    got = wide.agg(*[F.corr(rank(a, b), rank(b, a)).alias(f"rho__{i}") for i, (a, b) in enumerate(ps)])
+    return got.select(F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"rho__{i}").alias("rho"))
+                                          for i, (a, b) in enumerate(ps)])).alias("s")).select("s.*")
+
+
+def iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> dict[str, tuple[float, float, float, float]]:
+    """Per column the exact Q1, Q3 and the fences at k*IQR (one row per
+    column and quartile is read back); a column without values has nulls."""
+    qs = {(r["column_name"], r["p"]): r["value"] for r in exact_percentiles(df, cols, [0.25, 0.75]).collect()}
+    out = {}
+    for c in cols:
+        q1, q3 = qs.get((c, 0.25)), qs.get((c, 0.75))
+        out[c] = (None,) * 4 if q1 is None else (q1, q3, q1 - k * (q3 - q1), q3 + k * (q3 - q1))
+    return out
 
 
 def iqr_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """ST5: Q1, Q3, fences at k*IQR, strict outlier count and % of non-null.
     Two passes: exact quartiles, then one counting aggregate with the fences
-    as literals."""
-    qs = {(r["column_name"], r["p"]): r["value"] for r in exact_percentiles(df, cols, [0.25, 0.75]).collect()}
-    q = {c: (qs[(c, 0.25)], qs[(c, 0.75)]) for c in cols}  # two values per column
-    fences = {c: (q[c][0], q[c][1], q[c][0] - k * (q[c][1] - q[c][0]), q[c][1] + k * (q[c][1] - q[c][0]))
-              for c in cols}
+    as literals; only the reported figures are rounded."""
+    fences = iqr_fences(df, cols, k)
     aggs = []
     for c in cols:
         _, _, lo, hi = fences[c]
         x = F.col(c)
-        aggs += [F.count(x).alias(f"nn__{c}"), F.count_if((x < lo) | (x > hi)).alias(f"out__{c}")]
-    wide = df.agg(*aggs).withColumns({f"{f}__{c}": F.lit(v) for c in cols
+        aggs += [F.count(x).alias(f"nn__{c}"), F.count_if((x < F.lit(lo)) | (x > F.lit(hi))).alias(f"out__{c}")]
+    wide = df.agg(*aggs).withColumns({f"{f}__{c}": F.lit(v).cast("double") for c in cols
                                       for f, v in zip(("q1", "q3", "lo", "hi"), fences[c])})
     long = _stack(wide, cols, ["q1", "q3", "lo", "hi", "nn", "out"])
     return long.select("column_name", *[F.round(F.col(f).cast("double"), 6).alias(f) for f in ("q1", "q3", "lo", "hi")],
@@ -136,12 +169,11 @@ def iqr_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
                        F.round(100.0 * F.col("out") / F.col("nn"), 6).alias("pct_outliers"))
 
 
-def iqr_row_flag(df: DataFrame, cols: Sequence[str], fences: DataFrame) -> Column:
-    """ST6: true when the row is outside the fence in at least one column."""
-    f = {r["column_name"]: (r["lo"], r["hi"]) for r in fences.collect()}  # one row per column
+def iqr_row_flag(cols: Sequence[str], fences: dict[str, tuple[float, float, float, float]]) -> Column:
+    """ST6: true when the row is outside the exact fence in at least one column."""
     cond = F.lit(False)
     for c in cols:
-        cond = cond | (F.col(c) < f[c][0]) | (F.col(c) > f[c][1])
+        cond = cond | (F.col(c) < F.lit(fences[c][2])) | (F.col(c) > F.lit(fences[c][3]))
     return cond
 
 
@@ -169,29 +201,30 @@ def width_histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
             .withColumns({"lo": F.lit(lo) + F.col("bin") * F.lit(w), "hi": F.lit(lo) + (F.col("bin") + 1) * F.lit(w)}))
 
 
-def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, reach: float = 8.0) -> DataFrame:
+def kde_curve(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, at_once: int = 25) -> DataFrame:
     """ST12: Gaussian kernel density on a grid, Scott's bandwidth
-    (``n^(-1/5)`` times the n-1 deviation). The sum runs over distinct values
-    weighted by their counts; each distinct value contributes only to the
-    grid points within ``reach`` bandwidths (the rest is below 1e-14 of its
-    peak), emitted with ``explode(sequence)`` and summed in one aggregate."""
+    (``n^(-1/5)`` times the n-1 deviation).
+
+    Every distinct value, weighted by its count, adds to every grid point: no
+    reach, nothing cut. A row is copied once per ``at_once`` grid points and
+    those are as many sums of one partial aggregate, so only ``grid`` numbers
+    per task are shuffled.
+    """
     x = F.col(col).cast("double")
     n, sd, lo, hi = df.agg(F.count(x), F.stddev_samp(x), F.min(x), F.max(x)).first()
     bw = sd * n ** (-1 / 5)
     g0, g1 = lo - cut * bw, hi + cut * bw
     step = (g1 - g0) / (grid - 1)
     vc = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c"))
-    first = F.greatest(F.ceil((F.col("v") - F.lit(reach * bw) - F.lit(g0)) / F.lit(step)), F.lit(0))
-    last = F.least(F.floor((F.col("v") + F.lit(reach * bw) - F.lit(g0)) / F.lit(step)), F.lit(grid - 1))
-    pts = vc.select("v", "c", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("i"))
-    gx = F.lit(g0) + F.col("i") * F.lit(step)
-    z = (gx - F.col("v")) / F.lit(bw)
-    dens = F.col("c") * F.exp(-0.5 * z * z) / F.lit(n * bw * (2 * 3.141592653589793) ** 0.5)
-    got = pts.groupBy("i").agg(F.sum(dens).alias("density"))
-    # grid points no value reaches have density 0
-    all_i = df.sparkSession.range(grid).select(F.col("id").cast("int").alias("i"))
-    return (all_i.join(got, "i", "left").select("i", F.coalesce("density", F.lit(0.0)).alias("density"))
-            .withColumn("x", F.lit(g0) + F.col("i") * F.lit(step)))
+    lots = -(-grid // at_once)
+    part = vc.select("v", "c", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot")).withColumn(
+        "z0", (F.lit(g0) + F.col("lot") * F.lit(at_once * step) - F.col("v")) / F.lit(bw))
+    z = lambda j: F.col("z0") + F.lit(j * step / bw)
+    sums = part.groupBy("lot").agg(*[F.sum(F.col("c") * F.exp(-0.5 * z(j) * z(j))).alias(f"s{j}") for j in range(at_once)])
+    got = sums.select("lot", F.posexplode(F.array(*[F.col(f"s{j}") for j in range(at_once)])).alias("j", "s"))
+    i = (F.col("lot") * at_once + F.col("j")).cast("int")
+    return got.select(i.alias("i"), (F.col("s") / F.lit(n * bw * (2 * 3.141592653589793) ** 0.5)).alias("density"),
+                      (F.lit(g0) + i * F.lit(step)).alias("x")).where(F.col("i") < grid)
 
 
 def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
@@ -203,8 +236,8 @@ def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
                               for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     qs = qs.withColumns({"_lo": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                          "_hi": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    # one row per group value: broadcast is bounded by the number of groups
-    j = df.where(x.isNotNull()).select(by, x.alias("_x")).join(F.broadcast(qs), by)
+    # one row per group value: broadcast only where the planner finds it small
+    j = df.where(x.isNotNull()).select(by, x.alias("_x")).join(qs, by)
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),
@@ -213,36 +246,27 @@ def box_stats(df: DataFrame, *, value: str, by: str) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], *, by: Sequence[str] = (),
-                      buckets: int = 4096, by_is_categorical: bool = True) -> DataFrame:
+                      ranges: int | None = None) -> DataFrame:
     """Exact percentiles with linear interpolation (as ``percentile`` /
     ``quantile_cont``), without holding a group's values in one task.
 
-    Values are ranked with :func:`value_prefix` (bucketed counts of distinct
-    values); for each (group, column) and p the two ranks ``floor`` and
-    ``ceil`` of ``(n-1)p`` are looked up as the distinct value whose
-    cumulative range covers them. The targets table has one row per
-    (group, column, p) - bounded by the schema and the group column - and is
-    broadcast when ``by`` is categorical (a few values: classes, splits,
-    categories); pass ``by_is_categorical=False`` for a wide group key and
-    the planner decides. Returns ``by..., column_name, p, value``.
+    Values are ranked with :func:`value_prefix`; for each (group, column) and
+    p the values at the two ranks ``floor`` and ``ceil`` of ``(n-1)p`` are
+    the distinct values whose cumulative range covers them, found row by row
+    from the running counts without a join. Nulls and NaN are left out, as
+    are rows with a null group. Returns ``by..., column_name, p, value``.
     """
     by = list(by)
     long = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("s")
     ).select(*by, "s.*").where(F.col("v").isNotNull() & ~F.isnan("v"))
     keys = [*by, "column_name"]
-    small = by_is_categorical or not by
-    vp = value_prefix(long, keys=keys, value="v", buckets=buckets, keys_are_metadata=small)
-    n = vp.groupBy(*keys).agg(F.sum("n").alias("_N"))
-    tg = n.select(*keys, "_N", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-    h = (F.col("_N") - 1) * F.col("p")
-    tg = tg.select(*keys, "p", h.alias("_h"), F.explode(F.array(
-        F.struct(F.lit(0).alias("side"), F.floor(h).alias("r")),
-        F.struct(F.lit(1).alias("side"), F.ceil(h).alias("r")))).alias("t")).select(*keys, "p", "_h", "t.*")
-    # one row per (group, column, p, side): bounded by the number of groups x columns x probabilities
-    hit = vp.join(F.broadcast(tg) if small else tg, keys).where(
-        (F.col("r") >= F.col("before_n")) & (F.col("r") < F.col("before_n") + F.col("n")))
-    g = hit.groupBy(*keys, "p", "_h").agg(F.max(F.when(F.col("side") == 0, F.col("v"))).alias("_lo"),
-                                          F.max(F.when(F.col("side") == 1, F.col("v"))).alias("_hi"))
-    frac = F.col("_h") - F.floor(F.col("_h"))
+    vp = value_prefix(long, keys=keys, value="v", ranges=ranges)
+    h = lambda p: (F.col("total_n") - 1) * F.lit(float(p))
+    here = lambda r: (r >= F.col("before_n")) & (r < F.col("before_n") + F.col("n"))
+    asked = F.array(*[F.struct(F.lit(float(p)).alias("p"), h(p).alias("h"), here(F.floor(h(p))).alias("low"), here(F.ceil(h(p))).alias("high")) for p in probs])
+    hit = vp.select(*keys, "v", F.explode(F.filter(asked, lambda x: x.low | x.high)).alias("x"))
+    g = hit.groupBy(*keys, "x.p", "x.h").agg(F.max(F.when(F.col("x.low"), F.col("v"))).alias("_lo"),
+                                             F.max(F.when(F.col("x.high"), F.col("v"))).alias("_hi"))
+    frac = F.col("h") - F.floor(F.col("h"))
     return g.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias("value"))

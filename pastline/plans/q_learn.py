@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pastline.functions.names import plain_feature
 from pastline.learners import data as D
 from pastline.learners import models as L
 from pastline.learners import search as V
@@ -269,7 +270,8 @@ def uniform_sample(spark, sf_dir):
 def permutation_importance(spark, sf_dir):
     x, names, _ = learn_data(spark, sf_dir)
     m = L.fit_forest(_split(x, "train"), n_trees=20, max_depth=6, min_leaf=20)
-    return X.permutation_importance(m, _split(x, "val"), id_col="match_id", names=names, repeats=3).limit(15)
+    top = X.permutation_importance(m, _split(x, "val"), id_col="match_id", names=names, repeats=5).limit(15)
+    return top.withColumn("feature", plain_feature("feature"))
 
 
 def _baseline(x, names):

@@ -213,7 +213,11 @@ _TABLE_COLS = ["val_f1_macro", "test_f1_macro", "test_acc", "test_f1_H", "test_f
 
 def model_table_df(spark, sf_dir) -> DataFrame:
     # read by five aggregates below: computed once
-    lp = stored(model_predictions(spark, sf_dir).where(F.col("split").isin("val", "test")), "predictions")
+    return model_table_of(stored(model_predictions(spark, sf_dir).where(F.col("split").isin("val", "test")), "predictions"))
+
+
+def model_table_of(lp: DataFrame) -> DataFrame:
+    """V12 + V17 + J5 from a long prediction table (val and test rows of any models)."""
     by = ["model", "family", "split"]
     counts = M.confusion_counts(lp, by=by)
     summ = M.summary(counts, by=by)

@@ -157,3 +157,62 @@ def design_matrix(spark, sf_dir):
     return x.groupBy("split").agg(
         n.alias("n_rows"), F.lit(len(p.feature_names())).cast("bigint").alias("n_features"),
         *[F.round(F.count_if(F.col("outcome") == c) / n, 6).alias(f"share_{c}") for c in presets.OUTCOME_ORDER])
+
+
+# ---------------------------------------------------------------- A6, F14, S1, S2, S9
+
+NEW_FEATURES = [*[f"{v}_{s}" for v in ("home", "away") for s in S.HIST_STATS], "h2h_played", "h2h_home_winrate", "h2h_avg_goals", "is_top_league"]
+
+
+@query("new_feature_summary", "A6", sql=S.features_sql() + "\n" + "\nunion all\n".join(
+    f"select '{c}' as column_name, count(*) - count({c}) as n_null, round(100.0 * (count(*) - count({c})) / count(*), 6) as null_pct, "
+    f"round(avg({c}), 6) as mean from feat" for c in NEW_FEATURES))
+def new_feature_summary(spark, sf_dir):
+    from pastline.operators.profile import feature_summary
+    return feature_summary(S.features(spark, sf_dir), NEW_FEATURES)
+
+
+@query("feature_names", "F14", sql=S.features_sql() + f"""
+select name, kind from (values {", ".join(f"('{c}', 'num')" for c in S.CONTINUOUS)}, {", ".join(f"('{c}', 'flags')" for c in S.FLAGS)}) v(name, kind)
+union all
+select distinct 'division_' || division, 'cat' from feat where split = 'train' and division is not null""")
+def feature_names(spark, sf_dir):
+    """readable feature names, without the prefix that tells their kind."""
+    from pastline.functions.names import feature_kind, plain_feature
+    names = spark.createDataFrame([(n,) for n in S.prepared(spark, sf_dir).feature_names()], "raw string")
+    return names.select(plain_feature("raw").alias("name"), feature_kind("raw").alias("kind"))
+
+
+_CSV_SCHEMA = "match_id bigint, division string, match_date timestamp_ntz, home int, away int, home_score bigint, away_score bigint, home_rating double, away_rating double"
+
+
+@query("csv_source", "S1 S2 S9", sql="""
+select division, count(*) filter (where match_id % 500 <> 0) as n_rows, count(*) filter (where match_id % 500 = 0) as n_corrupt,
+       count(*) filter (where match_id % 500 <> 0 and home_rating is null) as null_home,
+       round(sum(home_rating) filter (where match_id % 500 <> 0), 2) as sum_home,
+       round(sum(away_rating) filter (where match_id % 500 <> 0), 2) as sum_away,
+       max(match_date) filter (where match_id % 500 <> 0) as last_date
+from contest group by division""")
+def csv_source(spark, sf_dir):
+    """The contest table written as CSV files (half of its missing ratings as
+    NaN, one record in 500 with a word for a number) and read back under an
+    enforced schema: NaN is null again and the records that do not fit are
+    counted by the division that their text names."""
+    from pastline.sources import csv_tables as CSV
+    from pastline.sources import sinks
+    c = contest(spark, sf_dir).withColumn("home_rating", F.when(
+        F.col("home_rating").isNull() & (F.col("match_id") % 2 == 0), F.lit(float("nan"))).otherwise(F.col("home_rating")))
+    cols = [f.split()[0] for f in _CSV_SCHEMA.split(", ")]
+    broken = c.where(F.col("match_id") % 500 == 0).select(*[F.lit("none").alias("home") if x == "home" else F.col(x) for x in cols])
+    good_path, bad_path = sinks.stage_root(spark, "contest_csv"), sinks.stage_root(spark, "contest_csv_broken")
+    sinks.write_csv(c.where(F.col("match_id") % 500 != 0).select(*cols), good_path, single=False)
+    sinks.write_csv(broken, bad_path, single=False)
+    rows = CSV.read_csv(spark, [good_path, bad_path], _CSV_SCHEMA)
+    fits = F.col(CSV.CORRUPT).isNull()
+    division = F.when(fits, F.col("division")).otherwise(F.split(CSV.CORRUPT, ",")[1])
+    return rows.groupBy(division.alias("division")).agg(
+        F.count_if(fits).alias("n_rows"), F.count_if(~fits).alias("n_corrupt"),
+        F.count_if(fits & F.col("home_rating").isNull()).alias("null_home"),
+        F.round(F.sum(F.when(fits, F.col("home_rating"))), 2).alias("sum_home"),
+        F.round(F.sum(F.when(fits, F.col("away_rating"))), 2).alias("sum_away"),
+        F.max(F.when(fits, F.col("match_date"))).alias("last_date"))

@@ -61,6 +61,26 @@ def column_profile(spark, sf_dir):
     return PR.column_profile(contest(spark, sf_dir), CONTEST_COLUMNS)
 
 
+@query("first_rows", "O5", sql="""
+select match_id, division, match_date, home, away, home_score, away_score, round(home_rating, 6) as home_rating
+from contest order by match_date, match_id limit 5""")
+def first_rows(spark, sf_dir):
+    """The first rows in chronological order (top-k per task, then over the tasks)."""
+    return contest(spark, sf_dir).orderBy("match_date", "match_id").limit(5).select(
+        "match_id", "division", "match_date", "home", "away", "home_score", "away_score", r6("home_rating"))
+
+
+@query("null_rate_by_year", "A5", sql="""
+select year(match_date) as year, count(*) as n_rows,
+       round(100.0 * (count(*) - count(home_rating)) / count(*), 6) as home_null_pct,
+       round(100.0 * (count(*) - count(away_rating)) / count(*), 6) as away_null_pct
+from contest group by year(match_date)""")
+def null_rate_by_year(spark, sf_dir):
+    """A5: share of missing ratings per calendar year."""
+    g = contest(spark, sf_dir).groupBy(F.year("match_date").alias("year"))
+    return PR.null_rates(g, ["home_rating", "away_rating"], ["home_null_pct", "away_null_pct"]).orderBy("year")
+
+
 @query("null_profile", "A3 O3", sql=_union([
     f"select '{c}' as column_name, count(*) - count({c}) as null_count, "
     f"round(100.0 * (count(*) - count({c})) / count(*), 6) as null_pct from contest" for c in CONTEST_COLUMNS]))
@@ -339,7 +359,7 @@ select count(*) as n_rows, count(*) filter (where """ + " or ".join(
 from lineitem cross join q""")
 def iqr_row_flags(spark, sf_dir):
     li = MX.complete_cases(read_table(spark, sf_dir, "lineitem", LI_NUM), LI_NUM)
-    flag = ST.iqr_row_flag(li, LI_NUM, ST.iqr_stats(li, LI_NUM))
+    flag = ST.iqr_row_flag(LI_NUM, ST.iqr_fences(li, LI_NUM))
     return li.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(flag).alias("n_any_outside"))
 
 
@@ -413,8 +433,7 @@ def outlier_profile(spark, sf_dir):
 @query("outlier_overlap", "A20 ST6")
 def outlier_overlap(spark, sf_dir):
     d, _ = _maha(spark, sf_dir)
-    fences = ST.iqr_stats(d, MAHA)
-    uni = ST.iqr_row_flag(d, MAHA, fences)
+    uni = ST.iqr_row_flag(MAHA, ST.iqr_fences(d, MAHA))
     mv = F.col("mv_outlier")
     return d.agg(F.count_if(mv & uni).alias("both"), F.count_if(mv & ~uni).alias("multivariate_only"),
                  F.count_if(~mv & uni).alias("univariate_only"), F.count_if(~mv & ~uni).alias("neither"))

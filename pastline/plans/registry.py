@@ -25,12 +25,12 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
-def query(name: str, operators: str, sql: str | None = None):
+def query(name: str, operators: str, sql: str | None = None, recursive: bool = False):
     """Register ``fn(spark, sf_dir) -> DataFrame`` under ``name``."""
     def deco(fn: Builder) -> Builder:
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, with_fixtures(sql) if sql else None, operators)
+        REGISTRY[name] = Query(name, fn, with_fixtures(sql, recursive) if sql else None, operators)
         return fn
     return deco
 

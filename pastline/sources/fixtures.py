@@ -118,7 +118,7 @@ from contest
 """
 
 
-def with_fixtures(sql: str) -> str:
+def with_fixtures(sql: str, recursive: bool = False) -> str:
     """Prefix an oracle query with the stand-in views as CTEs."""
-    return (f"with contest as ({CONTEST_SQL}), ratings as ({RATINGS_SQL}), "
+    return (f"with {'recursive ' if recursive else ''}contest as ({CONTEST_SQL}), ratings as ({RATINGS_SQL}), "
             f"pred as ({PRED_SQL})\n{sql}")

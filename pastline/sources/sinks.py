@@ -31,6 +31,6 @@ def read_split(spark: SparkSession, path: str, split: str | None = None) -> Data
     return df.where(F.col("split") == split) if split else df
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A small result table as CSV with a header (one file)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, single: bool = True) -> None:
+    """A table as CSV with a header; ``single`` puts a small result into one file."""
+    (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).csv(path)

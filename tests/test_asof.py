@@ -21,12 +21,12 @@ def test_asof_null_last_row_and_ties(spark):
                                   "k string, t timestamp_ntz, r double, pos int")
     out = {r["id"]: (r["asof"]["r"] if r["asof"] else "none")
            for r in A.asof_join(left, right, left_key="k", left_time="t", right_key="k", right_time="t",
-                                values=["r"], right_position=["pos"], chunk_seconds=86400 * 2).collect()}
+                                values=["r"], right_position=["pos"], segment_rows=2).collect()}
     assert out == {1: None, 2: 21.0, 3: "none", 4: "none", 5: 40.0}
 
 
-@pytest.mark.parametrize("chunk", [3600, 86400 * 5])
-def test_asof_matches_brute_force(spark, chunk):
+@pytest.mark.parametrize("rows", [3, 40, 1 << 16])
+def test_asof_matches_brute_force(spark, rows):
     rnd = random.Random(5)
     t0 = dt.datetime(2020, 1, 1)
     right = [(rnd.randint(0, 3), t0 + dt.timedelta(hours=rnd.randint(0, 2000)), float(i), i) for i in range(400)]
@@ -35,7 +35,7 @@ def test_asof_matches_brute_force(spark, chunk):
     R = spark.createDataFrame(right, "k int, t timestamp_ntz, r double, pos long")
     got = {r["id"]: (r["asof"]["r"] if r["asof"] else None)
            for r in A.asof_join(L, R, left_key="k", left_time="t", right_key="k", right_time="t",
-                                values=["r"], right_position=["pos"], chunk_seconds=chunk).collect()}
+                                values=["r"], right_position=["pos"], segment_rows=rows).collect()}
     for i, k, t in left:
         cands = [(rt, p, v) for rk, rt, v, p in right if rk == k and rt <= t]
         want = max(cands)[2] if cands else None

@@ -39,12 +39,12 @@ def _rows(n=600, entities=3, seed=7):
     return rows
 
 
-@pytest.mark.parametrize("chunk_seconds", [3600, 86400, 86400 * 7, 86400 * 365])
-def test_entity_history_matches_brute_force(spark, chunk_seconds):
+@pytest.mark.parametrize("segment_rows", [1, 4, 60, 1 << 16])
+def test_entity_history_matches_brute_force(spark, segment_rows):
     rows = _rows()
     df = spark.createDataFrame(rows, "id long, t timestamp_ntz, entity int, gf double, won boolean")
     out = H.entity_history(df, entity="entity", time="t", tie="id", values=("gf",), k=5,
-                           chunk_seconds=chunk_seconds).select("id", "gf5", "rest_days", "win_streak").collect()
+                           segment_rows=segment_rows).select("id", "gf5", "rest_days", "win_streak").collect()
     want = _brute(rows)
     assert len(out) == len(rows)
     for r in out:
@@ -80,7 +80,7 @@ def test_pair_history_and_dense_order(spark):
     rows = [r for r in rows if r[2] != r[3]]
     df = spark.createDataFrame(rows, "match_id long, match_date timestamp_ntz, home int, away int, "
                                      "home_score long, away_score long")
-    got = {r["match_id"]: r for r in H.pair_history(df, chunk_seconds=86400 * 3).collect()}
+    got = {r["match_id"]: r for r in H.pair_history(df, segment_rows=20).collect()}
     hist = {}
     for m, t, h, a, hs, as_ in sorted(rows, key=lambda r: (r[1], r[0])):
         key = frozenset((h, a))
@@ -116,3 +116,28 @@ def test_dense_order_single_partition_only_over_buckets(spark):
         if "SinglePartition" in line:
             assert "Exchange SinglePartition" in line
     assert plan.count("Exchange SinglePartition") <= 2
+
+
+def test_segments_are_cut_by_row_count(spark):
+    """A key that is hot at a single instant is cut; light keys have no summary and are not stored."""
+    from pastline.operators import scan
+    t = dt.datetime(2020, 1, 1)
+    rows = [(i, t, 0 if i % 3 else i + 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, t timestamp_ntz, k int")
+    light, heavy = scan.cut_by_rows(df, ["k"], scan.in_order("t", "id"), 200)
+    sizes = [r["count"] for r in heavy.groupBy("k", scan.SEGMENT).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) > 5 and max(sizes) < 3 * 200
+    assert light.count() == 1000 and light.select(scan.SEGMENT).distinct().count() == 1
+    assert scan.cut_by_rows(df, ["id"], scan.in_order("t"), 200)[1] is None
+
+
+def test_history_of_a_key_hot_within_a_day(spark):
+    rnd = random.Random(9)
+    t0 = dt.datetime(2020, 1, 1)
+    rows = [(i, t0 + dt.timedelta(seconds=rnd.randint(0, 5)), 0 if i % 3 else 1, float(rnd.randint(0, 4)), rnd.random() < 0.9) for i in range(500)]
+    df = spark.createDataFrame(rows, "id long, t timestamp_ntz, entity int, gf double, won boolean")
+    out = H.entity_history(df, entity="entity", time="t", tie="id", values=("gf",), k=5, segment_rows=180)
+    want = _brute(rows)
+    for r in out.select("id", "gf5", "rest_days", "win_streak").collect():
+        g, d, s = want[r["id"]]
+        assert r["gf5"] == (pytest.approx(g) if g is not None else None) and r["rest_days"] == d and r["win_streak"] == s

@@ -23,7 +23,7 @@ def test_chi2_and_wilcoxon_published_values():
 def test_average_ranks_with_ties(spark):
     vals = [3.0, 1.0, 3.0, 2.0, 3.0, 7.0, 1.0]
     df = spark.createDataFrame([("k", v) for v in vals], "k string, v double")
-    got = {r["v"]: r["rank"] for r in ST.average_ranks(df, keys=["k"], value="v", buckets=3).collect()}
+    got = {r["v"]: r["rank"] for r in ST.average_ranks(df, keys=["k"], value="v", ranges=3).collect()}
     want = pd.Series(vals).rank(method="average")
     for v, rk in zip(vals, want):
         assert got[v] == pytest.approx(rk)
@@ -33,7 +33,7 @@ def test_spearman_matches_pandas(spark):
     rnd = random.Random(2)
     rows = [(None if rnd.random() < 0.1 else float(rnd.randint(0, 9)), rnd.gauss(0, 1)) for _ in range(300)]
     df = spark.createDataFrame(rows, "a double, b double")
-    got = ST.spearman_pairs(df, ["a", "b"], buckets=7).first()["rho"]
+    got = ST.spearman_pairs(df, ["a", "b"], ranges=7).first()["rho"]
     want = pd.DataFrame(rows, columns=["a", "b"]).corr(method="spearman").loc["a", "b"]
     assert got == pytest.approx(want, abs=1e-12)
 
@@ -102,3 +102,55 @@ def test_mahalanobis_against_numpy(spark):
     assert np.allclose(sorted(got), sorted(want))
     assert thr == pytest.approx(16.266, abs=1e-3)
     assert not math.isnan(thr)
+
+
+def test_one_far_value_leaves_ranges_even(spark):
+    """A value far from all others is one more row of the last range."""
+    rows = [("a", float(i % 4000)) for i in range(20_000)] + [("a", 1e18), ("a", -1e18), ("b", 3.0)]
+    long = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    vp = ST.value_prefix(long, keys=["k"], value="v", ranges=8)
+    got = {(r["k"], r["v"]): (r["n"], r["before_n"], r["total_n"]) for r in vp.collect()}
+    assert got["a", 1e18] == (1, 20_001, 20_002) and got["a", -1e18] == (1, 0, 20_002) and got["b", 3.0] == (1, 0, 1)
+    assert all(got["a", float(v)] == (5, 1 + 5 * v, 20_002) for v in range(4000))
+    stored = [f for f in vp.inputFiles() if "value-ranges" in f]
+    sizes = [spark.read.parquet(f).count() for f in stored]
+    assert sum(sizes) == 4003 and max(sizes) < 4 * 4003 / 8
+
+
+def test_spearman_ranks_once_per_null_mask(spark):
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(400):
+        gone, x = rnd.random() < 0.3, rnd.gauss(0, 1)
+        a = None if gone else round(x, 1)
+        rows.append((a, None if gone else float(rnd.randint(0, 5)), round(x + rnd.gauss(0, 1), 1), float(rnd.randint(0, 3)),
+                     None if rnd.random() < 0.2 else float(rnd.randint(0, 9)), None if gone or rnd.random() < 0.2 else x))
+    cols = ["a", "a2", "b", "b2", "c", "sub"]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    of, covers = ST.null_masks(df, cols)
+    assert of["a"] == of["a2"] and of["b"] == of["b2"] and len(set(of.values())) == 4
+    assert (of["b"], of["c"]) in covers and (of["a"], of["sub"]) in covers and (of["c"], of["a"]) not in covers
+    want = pd.DataFrame(rows, columns=cols, dtype=float).corr(method="spearman")
+    for r in ST.spearman_pairs(df, cols, ranges=5).collect():
+        assert r["rho"] == pytest.approx(want.loc[r["a"], r["b"]], abs=1e-12)
+
+
+def test_percentiles_of_data_keys(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["x", "y", None]), rnd.choice([None, float("nan"), 1.0, 2.0, rnd.gauss(0, 9)])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {(r["g"], r["p"]): r["value"] for r in ST.exact_percentiles(df, ["v"], [0.0, 0.3, 0.5, 1.0], by=["g"], ranges=3).collect()}
+    frame = pd.DataFrame(rows, columns=["g", "v"]).dropna()
+    want = {(g, p): v.quantile(p) for g, v in frame.groupby("g")["v"] for p in (0.0, 0.3, 0.5, 1.0)}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_kde_counts_far_values(spark):
+    import numpy as np
+    xs = [0.0] * 30 + [1.0] * 5 + [40.0, 41.5]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = {r["i"]: (r["x"], r["density"]) for r in ST.kde_curve(df, "x", grid=37).collect()}
+    bw = np.std(xs, ddof=1) * len(xs) ** -0.2
+    assert sorted(got) == list(range(37))
+    for x, d in got.values():
+        assert d == pytest.approx(np.exp(-0.5 * ((x - np.array(xs)) / bw) ** 2).sum() / (len(xs) * bw * np.sqrt(2 * np.pi)), rel=1e-9, abs=0)
