@@ -28,14 +28,18 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | Struc
     """All records of CSV files with a header, with ``CORRUPT`` holding the
     text of those that do not fit ``schema`` (null for the others).
 
-    Raises where a header does not name the schema's columns. A missing field
-    is null; an empty table gives no rows.
+    Raises where a header does not name the schema's columns. A record is
+    judged whole, whichever columns are used with ``CORRUPT`` later: with
+    pruned columns one that does not fit would count as one that does. A missing field is
+    null; an empty table gives no rows.
     """
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     full = StructType([*kind.fields]).add(CORRUPT, StringType())
     rows = (spark.read.schema(full).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT).option("nanValue", "NaN").csv(path if isinstance(path, str) else list(path)))
-    return nan_to_null(rows)
+    # the scan converts the columns in use only; this keeps all of them in use wherever CORRUPT is
+    whole = F.xxhash64(*[f.name for f in kind.fields]) >= F.lit(-(1 << 63))
+    return nan_to_null(rows.withColumn(CORRUPT, F.when(whole, F.col(CORRUPT))))
 
 
 def split_corrupt(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

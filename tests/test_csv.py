@@ -20,6 +20,7 @@ def test_records_that_fit_and_others(spark, tmp_path):
     assert [(r.id, r.name, r.x) for r in good.orderBy("id").collect()] == [(1, "a", 1.5), (2, None, None), (3, "c", None)]
     assert good.columns == ["id", "name", "at", "x"]
     assert sorted(r[CSV.CORRUPT].split(",")[0] for r in bad.collect()) == ["5", "6", "x4"]
+    assert good.select("id").count() == 3 and good.count() == 3  # whichever columns are used
     report = CSV.csv_report(rows).first()
     assert (report.n_records, report.n_corrupt, report.null_x, report.null_at, report.null_id) == (6, 3, 2, 1, 0)
 
