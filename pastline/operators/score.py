@@ -75,3 +75,42 @@ def totals_to_features(pairs: DataFrame, totals: DataFrame, *, home: str = "home
         "form_diff": F.col("home_form") - F.col("away_form"),
         "h2h_home_winrate": F.lit(0.5), "h2h_played": F.lit(0.0),
     })
+
+
+def last_values(history: DataFrame, *, key: str, time: str, value: str, position: Sequence[str] = ()) -> DataFrame:
+    """``key, value``: each key's last non-missing-time value; equal times go by ``position`` (one partial aggregate)."""
+    known = history.where(F.col(key).isNotNull() & F.col(time).isNotNull())
+    order = F.struct(F.col(time), *[F.col(c) for c in position])
+    return known.groupBy(key).agg(F.max_by(F.col(value), order).alias(value))
+
+
+def complete_totals(pairs: DataFrame, totals: DataFrame, ratings: DataFrame, *, home: str = "home", away: str = "away",
+                    r_key: str = "entity", r_value: str = "rating", games_scale: int = 5) -> DataFrame:
+    """The rows of ``pairs`` with every input of the feature contract.
+
+    Ratings are the entities' last ones (``ratings``: one row per entity);
+    goals per game stand for the trailing means and points scaled to
+    ``games_scale`` games for the form; a streak and earlier meetings cannot
+    be told from totals and are none; rest days and average goals of meetings
+    stay null, as does all of an entity without totals or rating: the
+    preparation state fills them.
+    """
+    t = totals.select("entity", (F.col("gf") / F.col("games")).alias("gf5"), (F.col("ga") / F.col("games")).alias("ga5"),
+                      (F.col("pts") / F.col("games") * games_scale).alias("form"))
+    t = t.join(ratings.select(F.col(r_key).alias("entity"), F.col(r_value).cast("double").alias("rating")), "entity", "full_outer")
+    h = t.select(F.col("entity").alias(home), F.col("rating").alias("home_rating"), F.col("form").alias("form_home"),
+                 F.col("gf5").alias("home_gf5"), F.col("ga5").alias("home_ga5"))
+    a = t.select(F.col("entity").alias(away), F.col("rating").alias("away_rating"), F.col("form").alias("form_away"),
+                 F.col("gf5").alias("away_gf5"), F.col("ga5").alias("away_ga5"))
+    none = F.lit(None).cast("double")
+    return pairs.join(h, home, "left").join(a, away, "left").withColumns({
+        "home_rest_days": none, "away_rest_days": none, "home_win_streak": F.lit(0.0), "away_win_streak": F.lit(0.0),
+        "h2h_played": F.lit(0.0), "h2h_home_winrate": F.lit(0.5), "h2h_avg_goals": none})
+
+
+def picks_against_results(picks: DataFrame, results: DataFrame, *, id_col: str = "match_id", pick: str = "pick", actual: str = "actual") -> DataFrame:
+    """I4: one row: picks, those with a known result, and hits among them. Picks without a result stay and count as unknown."""
+    j = picks.join(results.select(id_col, actual), id_col, "left")
+    hit = F.col(pick) == F.col(actual)
+    return j.agg(F.count(F.lit(1)).alias("n_picks"), F.count(actual).alias("known"), F.count_if(hit).alias("hits")).withColumn(
+        "hit_rate", F.try_divide(F.col("hits"), F.col("known")))

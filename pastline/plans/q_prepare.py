@@ -159,6 +159,33 @@ def design_matrix(spark, sf_dir):
         *[F.round(F.count_if(F.col("outcome") == c) / n, 6).alias(f"share_{c}") for c in presets.OUTCOME_ORDER])
 
 
+# ---------------------------------------------------------------- the state as a table: M1 to M4, J4, A15, S7
+
+@query("preparation_state", "S7 M1 A15 A16 M2", sql=S.prepare_sql() + f"""
+, cat as (select distinct division from feat where split = 'train' and division is not null)
+select 'group_median' as kind, '' as name, division as grp, round(med, 6) as value from gmed where division is not null and med is not null
+union all select 'global_median', '', null, round(med, 6) from gall
+{" ".join(f"union all select 'median', '{c}', null, round({c}, 6) from cmed" for c in S.MEDIAN_COLS)}
+{" ".join(f"union all select 'constant', '{c}', null, {v!r}" for c, v in S.CONSTANTS.items())}
+{" ".join(f"union all select 'mean', '{c}', null, round(m_{c}, 6) from sc union all select 'scale', '{c}', null, round(case when s_{c} = 0 then 1 else s_{c} end, 6) from sc" for c in S.CONTINUOUS)}
+union all select 'category', '', division, row_number() over (order by division) - 1 from cat""")
+def preparation_state(spark, sf_dir):
+    """The fitted state, read back from the folder it was written to."""
+    return S.stored_preparation(spark, sf_dir).select("kind", "name", "grp", r6("value"))
+
+
+@query("reloaded_design", "S7 M1 M2 M3 J4", sql=S.prepare_sql() + f"""
+, cat as (select division, row_number() over (order by division) - 1 as place
+          from (select distinct division from feat where split = 'train' and division is not null))
+select match_id, {_NUM}, cast(coalesce(cat.place, (select count(*) from cat)) as double) as category
+from imp cross join sc left join cat on cat.division = imp.division""")
+def reloaded_design(spark, sf_dir):
+    """All rows prepared from the reloaded state alone."""
+    from pastline.operators import prepare_table as PT
+    x = PT.transform(S.features(spark, sf_dir), S.stored_preparation(spark, sf_dir), S.preparer(), keep=["match_id"])
+    return x.select("match_id", *[r6(f"num__{c}") for c in S.CONTINUOUS], "category")
+
+
 # ---------------------------------------------------------------- A6, F14, S1, S2, S9
 
 NEW_FEATURES = [*[f"{v}_{s}" for v in ("home", "away") for s in S.HIST_STATS], "h2h_played", "h2h_home_winrate", "h2h_avg_goals", "is_top_league"]

@@ -56,6 +56,77 @@ def totals_to_features(spark, sf_dir):
     return out.select("match_id", r6("home_gf_pg"), r6("away_gf_pg"), r6("form_diff"), r6("ga_diff"))
 
 
+_SCORABLE_SQL = S.prepare_sql() + f"""
+, tc as (select * from contest where {_TEST}),
+lg as (select home as entity, home_score as gf, away_score as ga from tc
+       union all select away, away_score, home_score from tc),
+tot as (select entity, count(*) as games, sum(gf) as gf, sum(ga) as ga,
+               sum(case when gf > ga then 3 when gf = ga then 1 else 0 end) as pts from lg group by entity),
+lr as (select entity, rating from (select *, row_number() over (partition by entity order by rating_date desc, l_orderkey desc,
+         l_linenumber desc, l_partkey desc, l_suppkey desc, l_extendedprice desc) as rn from ratings) where rn = 1),
+t as (select entity, rating, gf / games as gf5, ga / games as ga5, pts / games * 5 as form from tot full join lr using (entity)),
+sr0 as (select c.match_id, coalesce(h.rating, gl.med) as home_rating, coalesce(a.rating, gl.med) as away_rating,
+          coalesce(h.form, 0) as form_home, coalesce(a.form, 0) as form_away,
+          coalesce(h.gf5, cm.home_gf5) as home_gf5, coalesce(a.gf5, cm.away_gf5) as away_gf5,
+          coalesce(h.ga5, cm.home_ga5) as home_ga5, coalesce(a.ga5, cm.away_ga5) as away_ga5,
+          cm.home_rest_days, cm.away_rest_days, cast(0 as double) as home_win_streak, cast(0 as double) as away_win_streak, cast(0 as double) as h2h_played,
+          cast(0.5 as double) as h2h_home_winrate, cm.h2h_avg_goals
+        from tc c left join t h on h.entity = c.home left join t a on a.entity = c.away cross join gall gl cross join cmed cm),
+sr as (select *, {", ".join(f"{a} - {b} as {n}" for n, (a, b) in S.DIFFS.items())} from sr0)"""
+
+
+def scorable_rows(spark, sf_dir):
+    """Test contests as pairs completed from totals and last ratings, filled from the stored state."""
+    from pastline.operators import prepare_table as PT
+    from pastline.sources.fixtures import RATING_POSITION, ratings
+    tc = contest(spark, sf_dir).where(F.year("match_date") > presets.FIXTURE_VAL_YEARS[1])
+    last = SC.last_values(ratings(spark, sf_dir), key="entity", time="rating_date", value="rating", position=RATING_POSITION)
+    rows = SC.complete_totals(tc.select("match_id", "home", "away"), SC.period_totals(tc), last)
+    rows = rows.withColumns({"division": F.lit(None).cast("string"), "is_top_league": F.lit(0)})
+    return rows, PT, S.stored_preparation(spark, sf_dir), S.preparer()
+
+
+@query("scorable_totals", "I3 S7", sql=_SCORABLE_SQL + f"""
+select match_id, {", ".join(f"round({c}, 6) as {c}" for c in S.CONTINUOUS)} from sr""")
+def scorable_totals(spark, sf_dir):
+    rows, PT, state, spec = scorable_rows(spark, sf_dir)
+    return PT.impute(rows, state, spec).select("match_id", *[r6(c) for c in S.CONTINUOUS])
+
+
+@query("scored_totals", "I1 I2 I3 I4 S7")
+def scored_totals(spark, sf_dir):
+    """The completed rows in both orientations, prepared from the stored
+    state, scored by a stored model on neutral ground, the picks held against
+    the known results (drawn contests have none)."""
+    from pastline.learners import models as L
+    from pastline.learners import store as ST
+    from pastline.learners.data import assemble
+    from pastline.plans.q_learn import _split, learn_data
+    x, names, _ = learn_data(spark, sf_dir)
+    plain = [n for n in names if not n.startswith("cat__")]  # a pair without a division has none of these
+    train = assemble(_split(x, "train").drop("features"), plain)
+    root = ST.store_root(spark, "scoring-models")
+    ST.save(spark, L.fit_logreg(train, C=0.1), root, "logreg")
+    rows, PT, state, spec = scorable_rows(spark, sf_dir)
+    sides = [(f"home_{c}", f"away_{c}") for c in ("rating", "gf5", "ga5", "rest_days", "win_streak")] + [("form_home", "form_away")]
+    wide = rows.select("match_id", "home", "away", *[c for p in sides for c in p], "h2h_played", "h2h_home_winrate", "h2h_avg_goals", "division", "is_top_league")
+    both = wide.withColumn("orientation", F.lit(0)).unionByName(wide.select(
+        "match_id", F.col("away").alias("home"), F.col("home").alias("away"), *[F.col(b).alias(a) for a, b in sides], *[F.col(a).alias(b) for a, b in sides],
+        "h2h_played", "h2h_home_winrate", "h2h_avg_goals", "division", "is_top_league", F.lit(1).alias("orientation")))
+    ready = PT.transform(both, state, spec, keep=["match_id", "home", "away", "orientation"])
+    scored = ST.load(spark, root, "logreg").transform(assemble(ready, plain))
+    first = F.col("orientation") == 0
+    neutral = scored.groupBy("match_id").agg(
+        F.max(F.when(first, F.col("home"))).alias("side_a"), F.max(F.when(first, F.col("away"))).alias("side_b"),
+        F.avg(F.when(first, F.col("p2")).otherwise(F.col("p0"))).alias("p_first"),
+        F.avg(F.when(first, F.col("p0")).otherwise(F.col("p2"))).alias("p_second"))
+    picks = neutral.withColumn("pick", F.when(F.col("p_first") >= F.col("p_second"), F.col("side_a")).otherwise(F.col("side_b")))
+    c = contest(spark, sf_dir)
+    results = c.select("match_id", F.when(F.col("home_score") > F.col("away_score"), F.col("home")).when(
+        F.col("home_score") < F.col("away_score"), F.col("away")).alias("actual"))
+    return SC.picks_against_results(picks, results)
+
+
 NEAR_COLS = ["home_rating", "away_rating", "gf5_diff", "ga5_diff", "home_rest_days", "h2h_played"]
 #: Scaled features as whole ten-thousandths, so equal distances are equal in any engine.
 _POINTS_SQL = S.prepare_sql() + f"""

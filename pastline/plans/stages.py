@@ -89,6 +89,18 @@ def design(spark: SparkSession, sf_dir: str) -> DataFrame:
         features(spark, sf_dir), keep=["match_id", "match_date", "division", "split", "outcome"])
 
 
+def stored_preparation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The preparation state as a table, fitted once per (application, input) and read back from its folder."""
+    from pastline.operators import prepare_table as PT
+    from pastline.sources import sinks
+    key = (spark.sparkContext.applicationId, sf_dir, "state")
+    if key not in _MEMO:
+        path = sinks.stage_root(spark, f"preparation-{abs(hash(sf_dir))}")
+        PT.write_state(PT.fit_state(features(spark, sf_dir), preparer()), path)
+        _MEMO[key] = PT.read_state(spark, path)
+    return _MEMO[key]
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 def _hist_sql() -> str:
