@@ -197,6 +197,38 @@ def test_surrogates_keep_type_format_and_identity(documents):
     assert {r.doc_id: r.n_entities for r in got} == {1: 3, 2: 4, 3: 3, 4: 0, 5: 0, None: 1}
 
 
+def iban_ok(x):
+    x = x.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
+def test_a_person_is_not_named_beside_the_surrogate(documents):
+    text = ("Mrs Anna Weber called. Later Weber and Anna Weber wrote; Dr Anna Weber too. Annabel and Weberian stay. "
+            "Tel +14155550123 and +33 6 12 34 56 78 and 4155550123.")
+    other = "Prof Anna Berg, IBAN DE89 3704 0044 0532 0130 00, host 2001:db8:85a3::8a2e:370:7334 at 12:34:56, GB82WEST12345698765432."
+    got = {r.doc_id: r.text for r in pii.surrogate_pii(documents([(1, text, "en", "s"), (2, other, "en", "s")])).collect()}
+    m = re.fullmatch(r"Mrs (\w+) (\w+) called\. Later (\w+) and (\w+) (\w+) wrote; Dr (\w+) (\w+) too\. Annabel and Weberian stay\. "
+                     r"Tel \+1(\d{10}) and \+33( \d(?: \d\d){4}) and (\d{10})\.", got[1])
+    given, surname = m[1], m[2]
+    assert given.endswith("a") and "Anna" != given and "Weber" != surname and given != surname
+    assert (m[3], m[4], m[5], m[6], m[7]) == (surname, given, surname, given, surname)
+    assert m[8] == m[10] != "4155550123" and m[9] != " 6 12 34 56 78"
+    n = re.fullmatch(r"Prof (\w+) (\w+), IBAN (DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d), host ([0-9a-f:]+) at 12:34:56, (GB\d\d[A-Z]{4}\d{14})\.", got[2])
+    assert n[1] == given and n[2] != "Berg" and iban_ok(n[3]) and iban_ok(n[5]) and "3704 0044" not in n[3]
+    assert [len(x) for x in n[4].split(":")] == [4, 3, 4, 0, 4, 3, 4] and "db8" not in n[4]
+
+
+def test_names_are_one_space(documents):
+    """Given names of either gender and surnames never share a surrogate, and none is a name that occurs."""
+    names = ["Mr Bo Lee", "Mrs Bo Lee", "Mr Ba Bu", "Mrs Bi Be", "Dr Bu Ba", "Mrs Lee Bo"] + [f"Mr {a}{b} X{b}" for a in "BCD" for b in "aeiou"]
+    got = pii.surrogate_pii(documents([(i, n, "en", "s") for i, n in enumerate(names)])).collect()
+    to = {}
+    for r in got:
+        for a, b in zip(names[r.doc_id].split()[1:], r.text.split()[1:]):
+            assert to.setdefault(a, b) == b
+    assert len(set(to.values())) == len(to) and not set(to) & set(to.values())
+
+
 def test_surrogates_stay_distinct(spark, documents):
     """Short names leave few values: first draws collide and are drawn again."""
     names = ["Mr. " + a + b for a in "BCDFGHKLMN" for b in "aeiou"]
