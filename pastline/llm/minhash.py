@@ -5,17 +5,21 @@ of ``perms`` hash functions gives two values of a set, its minimum and its
 maximum; both agree between two sets with probability equal to their
 similarity, so one evaluation yields two signature values. A band is
 ``rows / 2`` functions' minima and maxima; documents that share a band become
-candidates. With 40 bands of 6 values a pair of similarity 0.8 is missed with
-probability 5e-6. Every link is confirmed on the full sets.
+candidates. Minimum and maximum are drawn without replacement, so with 40
+bands of 6 values a pair of similarity 0.8 is missed with probability 5e-6
+where the sets are large, and more often the smaller they are (9e-6 for 16 of
+20 shingles, 5.9e-5 for 4 of 5). Sets of fewer than 30 shingles therefore
+become candidates by exact prefix keys too, which miss no pair. Every link is
+confirmed on the full sets.
 
 Equal sets are one node from the start, whatever the number of copies.
 Inside a band's bucket no pairs are made of a group: the nodes are compared
 with a hub (the smallest) and confirmed ones join its component, so a large
-group of near copies costs a few comparisons per node. Buckets whose nodes
-are then still in different components are joined to groups where they
-overlap, and in each group the nodes outside its largest component are
-compared with all its nodes, in blocks. So no link between different
-components is left untested, and no pair is emitted but links.
+group of near copies costs a few comparisons per node. In the buckets whose
+nodes are then still in different components, the nodes outside the bucket's
+largest component are compared with all its nodes, in blocks of bounded size.
+So no link between different components is left untested, and no pair is
+emitted but links. A hub's partners are dealt to salted keys before any join.
 """
 
 from __future__ import annotations
@@ -29,18 +33,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pastline.llm.common import stored, text_key
+from pastline.llm.components import SPREAD, components
 
 PERMS, ROWS = 120, 6
-BLOCK, SQUARE = 64, 256
-#: Distinct words whose hash a Python worker keeps.
-CACHE_WORDS = 1 << 20
+#: Partners of a hub, and shingles of one side, that a task has at a time; a node counts as ``LEAST`` shingles at least.
+BLOCK, SQUARE, LEAST = 64, 1 << 17, 512
+#: Below so many shingles, sets have exact prefix keys.
+SMALL = 30
+#: Words whose hash a Python worker keeps while it has a task, about 150 bytes each; longer words are not kept.
+CACHE_WORDS, CACHE_LENGTH = 1 << 17, 32
 
 
 class _WordHash(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= CACHE_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
@@ -100,7 +110,15 @@ class MinMax:
 SIGNED = "doc_id long, text_key long, node binary, n_shingles long, bands array<long>"
 
 
-def signatures(docs: DataFrame, words: int, perms: int, rows: int) -> DataFrame:
+def prefix_keys(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of which two sets of similarity ``percent`` or more share one, if the smaller has fewer than ``SMALL`` shingles."""
+    n = len(shingles)
+    if n > 100 * SMALL // percent:
+        return shingles[:0]
+    return _mix(shingles[:n - -(-percent * n // 100) + 1] ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def signatures(docs: DataFrame, words: int, perms: int, rows: int, percent: int = 80) -> DataFrame:
     """(doc_id, text_key, node, n_shingles, bands); ``node`` is the 128-bit hash of the set, null for an empty one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         minmax = MinMax(perms, rows)
@@ -112,8 +130,9 @@ def signatures(docs: DataFrame, words: int, perms: int, rows: int) -> DataFrame:
                 keys = iter(minmax.bands(full).view(np.int64) if full else [])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                     pa.array([len(s) for s in sets], pa.int64()), pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([np.concatenate((next(keys), prefix_keys(s, percent).view(np.int64))) if len(s) else None for s in sets], pa.list_(pa.int64()))],
                     ["doc_id", "text_key", "node", "n_shingles", "bands"])
+        _HASH.clear()  # the worker may serve other stages next
 
     return docs.select("doc_id", text_key().alias("text_key"), "text").mapInArrow(run, SIGNED)
 
@@ -126,7 +145,10 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     streams its partners, so a hub of any size is spread over many tasks.
     """
     blocks = F.greatest(F.lit(1), (F.col("partners") / BLOCK).cast("int"))
-    sized = pairs.join(pairs.groupBy("a").agg(F.count("*").alias("partners")), "a")
+    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b", F.lit(1)), F.lit(SPREAD)).cast("int"))
+    part = salted.groupBy("a", "salt").agg(F.count("*").alias("n"))
+    total = part.groupBy("a").agg(F.sum("n").alias("partners"))
+    sized = salted.join(part.drop("n").join(total, "a"), ["a", "salt"]).drop("salt")
     dealt = sized.withColumn("block", F.pmod(F.xxhash64("b"), blocks).cast("int"))
     left = dealt.selectExpr("a as hub", "block as hub_block").distinct().join(texts.selectExpr("node as hub", "text as hub_text"), "hub")
     right = dealt.join(texts.selectExpr("node as b", "text"), "b").select("a", "block", "b", "text")
@@ -146,34 +168,6 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return left.groupBy("hub", "hub_block").cogroup(right.groupBy("a", "block")).applyInArrow(check, "a binary, b binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) for the nodes of ``edges`` (a, b): the smallest node reachable.
-
-    Alternating large-star and small-star steps; every step is one grouping
-    for the smallest neighbour and a join, so a hub's neighbours are never
-    collected. Each step is stored; ends when a step changes nothing.
-    """
-    both = stored(edges.select("a", "b").filter("a <> b").distinct(), "cc-edges")
-    while True:
-        # large star: neighbours above a node are linked with the smallest of its neighbourhood
-        ways = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = ways.join(low, "a").filter("b > a").select(F.col("m").alias("a"), "b").filter("a <> b").distinct()
-        # small star: a node and its smaller neighbours are linked with the smallest of these
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("m").alias("a"), "b").filter("a <> b").union(
-            least.select(F.col("m").alias("a"), F.col("a").alias("b"))).distinct()
-        following = stored(small, "cc-edges")
-        # finished when every node has one smaller neighbour and no root has one
-        stars = following.groupBy("b").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count() == 0 and \
-            following.select("a").distinct().join(following.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count() == 0
-        both = following
-        if stars:
-            return both.select(F.col("b").alias("node"), F.col("a").alias("comp")).union(
-                both.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct())
-
-
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
     """Sizes of the intersections of two lists of sorted sets, ``width`` common values at a time."""
     def cells(sets: list[np.ndarray], common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,11 +194,11 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096)
 
 
 def links_between(nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between nodes of different components in one group; ``nodes`` has (node, comp, grp).
+    """Links (a, b) between nodes of different components in one bucket; ``nodes`` has (node, comp, grp).
 
-    The nodes outside a group's largest component are a query set that is
-    compared with the whole group, in blocks of ``SQUARE`` by ``SQUARE`` nodes;
-    nothing is emitted but links.
+    The nodes outside a bucket's largest component are a query set that is
+    compared with the whole bucket, in blocks of about ``SQUARE`` by
+    ``SQUARE`` shingles; nothing is emitted but links.
     """
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,18 +206,21 @@ def links_between(nodes: DataFrame, texts: DataFrame, words: int, percent: int)
                 part = batch.slice(at, 256)
                 sets = [shingle_set(t.as_py(), words).tobytes() for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    sets = texts.join(nodes.select("node"), "node").select("node", "text").mapInArrow(listed, "node binary, shingles binary")
-    sizes = nodes.groupBy("grp", "comp").agg(F.count("*").alias("n")).groupBy("grp").agg(
-        F.sum("n").alias("members"), F.max(F.struct("n", "comp")).getField("comp").alias("main"))
-    all_ = stored(sets.join(nodes, "node").join(sizes, "grp"), "open-sets")
-    asking = all_.filter("comp <> main")
-    asked = asking.groupBy("grp").agg(F.count("*").alias("asking"))
+        _HASH.clear()
+
+    sets = texts.join(nodes.select("node").distinct(), "node").select("node", "text").mapInArrow(listed, "node binary, shingles binary")
+    sets = stored(sets, "open-sets").withColumn("weight", F.greatest(F.lit(LEAST), F.octet_length("shingles") / 8).cast("long"))
+    weighed = nodes.join(sets.select("node", "weight"), "node")
+    sizes = weighed.groupBy("grp", "comp").agg(F.sum("weight").alias("w")).groupBy("grp").agg(
+        F.sum("w").alias("members"), F.max(F.struct("w", "comp")).alias("main"))
+    sizes = sizes.select("grp", "members", (F.col("members") - F.col("main.w")).alias("asking"), F.col("main.comp").alias("main")).filter("asking > 0")
+    all_ = stored(nodes.join(sizes, "grp"), "open-members")
     blocks = lambda n: F.ceil(F.col(n) / SQUARE).cast("int")
     mine = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
-    left = asking.join(asked, "grp").select("grp", mine("asking").alias("q"), F.explode(F.sequence(F.lit(0), blocks("members") - 1)).alias("m"), "node", "comp", "shingles")
-    right = all_.join(asked, "grp").select(F.col("grp").alias("of"), F.explode(F.sequence(F.lit(0), blocks("asking") - 1)).alias("oq"), mine("members").alias("om"),
-                                           F.col("node").alias("other"), F.col("comp").alias("other_comp"), F.col("shingles").alias("other_shingles"))
+    left = all_.filter("comp <> main").select("grp", mine("asking").alias("q"), F.explode(F.sequence(F.lit(0), blocks("members") - 1)).alias("m"), "node", "comp")
+    right = all_.select("grp", F.explode(F.sequence(F.lit(0), blocks("asking") - 1)).alias("oq"), mine("members").alias("om"), "node", "comp")
+    left = left.join(sets, "node").select("grp", "q", "m", "node", "comp", "shingles")
+    right = right.join(sets, "node").select(F.col("grp").alias("of"), "oq", "om", F.col("node").alias("other"), F.col("comp").alias("other_comp"), F.col("shingles").alias("other_shingles"))
 
     def check(ask: pa.Table, members: pa.Table) -> pa.Table:
         a, b = [], []
@@ -257,13 +254,10 @@ def near_links(signed: DataFrame, docs: DataFrame, words: int, percent: int) ->
 
     pairs = live.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     comp = components(confirmed(pairs, texts, words, percent))
-    # buckets whose nodes are still apart: each such node with the first of its bucket, hence groups of buckets
-    known = live.join(comp, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
-    apart = live.filter("node <> hub").select("band", "node").join(comp, "node", "left").groupBy("band").agg(
-        F.min(F.coalesce("comp", "node")).alias("lo"), F.max(F.coalesce("comp", "node")).alias("hi"), F.min("node").alias("head")).filter("lo <> hi")
-    known = stored(known.join(apart.select("band", "head"), "band"), "open-buckets")
-    grp = components(known.select(F.col("head").alias("a"), F.col("node").alias("b")))
-    nodes = stored(known.select("node", "comp").distinct().join(grp.select("node", F.col("comp").alias("grp")), "node"), "open-nodes")
+    # buckets whose nodes are still apart
+    known = live.select("band", "node").join(comp, "node", "left").select("band", "node", F.coalesce("comp", "node").alias("comp"))
+    apart = known.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
+    nodes = stored(known.join(apart, "band").select("node", "comp", F.col("band").alias("grp")), "open-nodes")
     more = links_between(nodes, texts, words, percent)
     return components(comp.select(F.col("comp").alias("a"), F.col("node").alias("b")).union(more))
 
@@ -285,7 +279,7 @@ def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80, perms: int =
 def grouped(docs: DataFrame, words: int = 5, percent: int = 80, perms: int = PERMS, rows: int = ROWS) -> DataFrame:
     """``near_dedup`` with the key that tells rows apart."""
     docs = docs.selectExpr("cast(doc_id as long) as doc_id", "text")
-    signed = stored(signatures(docs, words, perms, rows), "signatures")
+    signed = stored(signatures(docs, words, perms, rows, percent), "signatures")
     comp = near_links(signed, docs, words, percent)
     rows_ = signed.select("doc_id", "text_key", "node", "n_shingles").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     lowest = rows_.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("low"))

@@ -37,8 +37,10 @@ WINDOW = 2048
 SHARD_TOKENS = 1 << 20
 END_ID = 1
 K1, B = 1.2, 0.75
-#: Distinct words kept per Python worker; emptied between shards when it is full.
-CACHE_WORDS = 1 << 20
+#: Bytes that the words kept per Python worker may take; they are dropped between shards when they take more.
+CACHE_BYTES = 96 << 20
+#: What a word takes beside its letters and ids: a string, a number, a dictionary slot, a bytes object, a list slot.
+WORD_BYTES = 230
 #: Characters outside ASCII and Latin letters to U+017F, within which the tokenizer's normalisation is lower-casing.
 OTHER = re.compile(r"[^\t-\r\x20-\x7e\xa1-ſ]")
 #: The pattern of the tokenizer file's pre-tokenizer (fixed value).
@@ -71,6 +73,7 @@ class WordCodes:
     def forget(self) -> None:
         self.number: dict[str, int] = defaultdict(count().__next__)
         self.code: list[bytes] = []
+        self.kept = 0
 
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, ended by ``END_ID``, and its word numbers."""
@@ -96,6 +99,7 @@ class WordCodes:
         """
         fresh = list(islice(reversed(self.number), len(self.number) - len(self.code)))[::-1]
         lots = [fresh[i:i + together] for i in range(0, len(fresh), together)]
+        self.kept += sum(map(len, fresh)) * 2 + len(fresh) * WORD_BYTES
         for lot, e in zip(lots, self.by_word.encode_batch_fast([" ".join(lot) for lot in lots], add_special_tokens=False)):
             ids = np.array(e.ids, "<u2")
             cuts = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
@@ -106,7 +110,7 @@ class WordCodes:
                 self.code += [np.array(one.ids, "<u2").tobytes() for one in self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)]
 
     def trim(self) -> None:
-        if len(self.code) > CACHE_WORDS:
+        if self.kept > CACHE_BYTES:
             self.forget()
 
 
