@@ -50,13 +50,15 @@ def text_key() -> Column:
 def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a true ``kept`` in ``verdicts`` (doc_id, text_key, kept); all columns stay.
 
-    Rows that repeat both doc_id and text are kept once where some of them
-    are dropped and some kept. The dropped keys are the small side, and the
-    join is planned by their stored size.
+    Rows that repeat both doc_id and text (null and empty are one) are kept
+    once where some of them are dropped and some kept: the row that is
+    smallest in its further columns. The dropped keys are the small side, and
+    the join is planned by their stored size.
     """
     told = verdicts.groupBy("doc_id", "text_key").agg(F.min("kept").alias("all_kept"), F.max("kept").alias("some_kept"))
     gone = stored(told.filter("not all_kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "some_kept"), "dropped")
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (text_key() == F.col("__key"))
     rest = docs.join(gone.drop("some_kept"), same, "left_anti")
-    part = docs.join(gone.filter("some_kept").drop("some_kept"), same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return rest.unionByName(part)
+    twice = docs.join(gone.filter("some_kept").drop("some_kept"), same, "left_semi")
+    part = twice.groupBy(F.col("doc_id").alias("__id"), text_key().alias("__key")).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
+    return rest.unionByName(part.select("__row.*"))
