@@ -7,9 +7,13 @@ the interval of ``reach`` characters around them. Parts have roles
 (identifier, secret, endpoint); an identifier or endpoint needs a secret, a
 weak secret needs an identifier or endpoint.
 
-The interval join is a sweep over the parts of a text in order of start: the
-nearest part of each role before and after decides whether any lies within
-reach, so nothing is paired and the work is linear in the parts after a sort.
+The scopes of two parts meet where at most ``2 * reach`` characters lie between
+them. The interval join is a sweep over the parts of a text in order of start,
+once forwards and once backwards with running extremes: the farthest end
+before and the nearest start after a part, by role, decide whether any lies
+within reach. Nothing is paired, and the work is linear in the parts after the
+two sorts (a frame that ends at the last row would be gone through anew for
+every part).
 """
 
 from __future__ import annotations
@@ -64,17 +68,18 @@ def _linked(spans: DataFrame, reach: int) -> DataFrame:
     """Base spans, and weak ones that overlap no base span and have a complementary part within reach."""
     weak = F.col("kind").isin([k for k, x in enumerate(KINDS) if x[3]])
     role = F.element_at(F.array(*[F.lit(x[2]) for x in KINDS]), F.col("kind") + 1)
-    order = Window.partitionBy("row_id").orderBy("start", "kind")
-    back, ahead = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    base_end, base_start = F.max(F.when(~weak, F.col("end"))), F.min(F.when(~weak, F.col("start")))
-    clear = spans.withColumn("weak", weak).withColumn("role", role).withColumn(
-        "covered", F.coalesce(base_end.over(back) > F.col("start"), F.lit(False)) | F.coalesce(base_start.over(ahead) < F.col("end"), F.lit(False)))
-    clear = clear.filter(~F.col("weak") | ~F.col("covered"))
-    near = {}
-    for r in "sie":
-        mine = F.col("role") == r
-        near[r] = F.coalesce(F.max(F.when(mine, F.col("end"))).over(back) + 2 * reach >= F.col("start"), F.lit(False)) | \
-            F.coalesce(F.min(F.when(mine, F.col("start"))).over(ahead) - 2 * reach <= F.col("end"), F.lit(False))
+    before = (Window.unboundedPreceding, -1)
+    back = Window.partitionBy("row_id").orderBy("start", "kind").rowsBetween(*before)
+    ahead = Window.partitionBy("row_id").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(*before)
+    parts = spans.withColumn("weak", weak).withColumn("role", role)
+    parts = parts.withColumn("end_before", F.max(F.when(~F.col("weak"), F.col("end"))).over(back)).withColumn(
+        "start_after", F.min(F.when(~F.col("weak"), F.col("start"))).over(ahead))
+    covered = F.coalesce(F.col("end_before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("start_after") < F.col("end"), F.lit(False))
+    clear = parts.filter(~F.col("weak") | ~covered)
+    clear = clear.withColumns({f"end_{r}": F.max(F.when(F.col("role") == r, F.col("end"))).over(back) for r in "sie"})
+    clear = clear.withColumns({f"start_{r}": F.min(F.when(F.col("role") == r, F.col("start"))).over(ahead) for r in "sie"})
+    near = {r: F.coalesce(F.col(f"end_{r}") + 2 * reach >= F.col("start"), F.lit(False)) |
+            F.coalesce(F.col(f"start_{r}") - 2 * reach <= F.col("end"), F.lit(False)) for r in "sie"}
     linked = clear.withColumn("s", near["s"]).withColumn("x", near["i"] | near["e"])
     return linked.filter(~F.col("weak") | F.when(F.col("role") == "s", F.col("x")).otherwise(F.col("s"))).select("row_id", "kind", "start", "end")
 
