@@ -115,9 +115,3 @@ def stratified_sample(df: DataFrame, n: int, *, key: str, label: str = LABEL, se
         out = out.unionByName(p)
     return out
 
-
-def train_tail_split(train: DataFrame, *, seq: str, n: int, tail: float = 0.1) -> tuple[DataFrame, DataFrame]:
-    """T19 switch: stop boosting on the last ``tail`` share of the train rows
-    (chronological) instead of the validation split that also picks models."""
-    cut = int(n * (1 - tail))
-    return train.where(F.col(seq) < cut), train.where(F.col(seq) >= cut)

@@ -3,8 +3,6 @@ L1 to L13, L16, V1 to V4, V11, V16, M10, M12, M13, X1, X2, I1, I3, S5, S7, S9.""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -301,15 +299,15 @@ def shapley_linear(spark, sf_dir):
 
 @query("batch_score", "I1 S5 S7 S9")
 def batch_score(spark, sf_dir):
-    """Fit, persist the model and the preparation state under the shared
-    checkpoint folder, load them back, score the test split."""
-    from pyspark.ml.classification import LogisticRegressionModel
-    x, names, _ = learn_data(spark, sf_dir)
-    m = L.fit_logreg(_split(x, "train"), C=0.1)
-    root = os.path.join(ensure_checkpoint_dir(spark), "models", f"{spark.sparkContext.applicationId}-logreg")
-    m.model.write().overwrite().save(root)
-    state = S.prepared(spark, sf_dir).to_json()
-    spark.createDataFrame([(state,)], "state string").write.mode("overwrite").text(root + "_prep")
-    back = L.SparkProb(LogisticRegressionModel.load(root))
-    out = back.transform(_split(x, "test"))
-    return out.select("match_id", *[r6(p) for p in L.prob_cols(back.k)], "pred")
+    """Fit and store a model, then score the raw test rows from what the
+    stores hold alone: the preparation state read back as a table and the
+    model loaded by name."""
+    from pastline.learners import store as ST
+    from pastline.operators import prepare_table as PT
+    x, _, _ = learn_data(spark, sf_dir)
+    root = ST.store_root(spark, "batch-models")
+    ST.save(spark, L.fit_logreg(_split(x, "train"), C=0.1), root, "logreg")
+    state, back = S.stored_preparation(spark, sf_dir), ST.load(spark, root, "logreg")
+    rows = S.features(spark, sf_dir).where(F.col("split") == "test")
+    ready = PT.assemble(PT.transform(rows, state, S.preparer(), keep=["match_id"]), state)
+    return back.transform(ready).select("match_id", *[r6(p) for p in L.prob_cols(back.k)], "pred")

@@ -198,21 +198,23 @@ def imbalance_experiment(spark, sf_dir):
 
     from pastline.learners import models as L
     from pastline.learners import neighbours as N
-    from pastline.learners import search as V
     from pastline.learners.data import FEATURES, LABEL
+    from pastline.operators import metrics as M
     from pastline.plans.q_learn import _split, learn_data
+    from pastline.sources.scratch import stored
     x, _, _ = learn_data(spark, sf_dir)
     train = _split(x, "train").select("match_id", LABEL, FEATURES)
     made = N.oversample(train.select("match_id", LABEL, vector_to_array(FEATURES).alias("x")))
     more = made.select((-F.monotonically_increasing_id() - 1).alias("match_id"), LABEL, array_to_vector("x").alias(FEATURES))
-    from pastline.sources.scratch import stored
     grown = stored(train.unionByName(more), "oversampled")
     rows = []
     for arm, rows_in, bal in (("none", train, False), ("weights", train, True), ("oversampling", grown, False)):
         m, kept = L.fit_boost(rows_in, None, rounds=6, balanced=bal, **{
             k: v for k, v in L.BOOST_PRESETS["depthwise"].items()})
-        e = V.evaluate(m, _split(x, "val"), with_probs=False)
-        rows.append((arm, rows_in.count(), float(e["f1_macro"]), float(e["recall_D"]), float(e["recall_H"]), float(e["recall_A"]), float(e["accuracy"]), int(kept)))
+        counts = stored(M.confusion_counts(m.transform(_split(x, "val")).select(F.col(LABEL).cast("int").alias("label"), "pred")), "confusion")
+        e = M.summary(counts).first()
+        recall = {r["cls"]: float(r["recall"]) for r in M.per_class(counts).collect()}  # one row per class
+        rows.append((arm, rows_in.count(), float(e["f1_macro"]), *[recall.get(presets.OUTCOME_CODE[c], 0.0) for c in "DHA"], float(e["accuracy"]), int(kept)))
     return spark.createDataFrame(rows, "arm string, n_train long, val_f1_macro double, val_recall_D double, val_recall_H double, "
                                        "val_recall_A double, val_accuracy double, rounds long")
 
