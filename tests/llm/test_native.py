@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -158,3 +159,30 @@ def test_links_of_many_spans_in_one_text(documents, duck, same):
     r = secrets.scan_secrets(documents([(1, many, "en", "s")])).first()
     assert r.n_assign == 8000 and r.spans.count(",") >= 31_000
     assert time.time() - began < 90
+
+
+def test_certified_cutoffs_in_two_strata(spark, documents, duck, same):
+    """Labels enough to certify cutoffs, others in each language, held against SQL and against the promise."""
+    draw = random.Random(21)
+    word = lambda: "".join(draw.choices("abcdefghij", k=5))
+    rows, labels = [], []
+    for lang in ("aa", "bb"):
+        for i in range(1900):
+            words, good = [word() for _ in range(60)], i >= 120
+            if not good:  # symbols in a quarter to two thirds of the words, or capitals
+                words = [w + "#" if draw.random() < 0.25 + i / 300 else w for w in words] if i % 2 else [w.upper() for w in words]
+            elif lang == "bb" and i < 124:  # four good ones with some symbols end that ladder early
+                words = [w + "#" if k % 3 == 0 else w for k, w in enumerate(words)]
+            rows.append((len(rows), " ".join(words), lang, "s"))
+            if i % 30:
+                labels.append((len(rows) - 1, int(good), 0))
+    got = quality.quality_rules(documents(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    same(got, duck(quality.SQL, documents=rows, labels=labels))
+    good = {i for i, q, _ in labels if q}
+    by = {lang: [r for r in got if rows[r.doc_id][2] == lang] for lang in ("aa", "bb")}
+    rejected = {lang: Counter(name for r in part for name in r.failed_rules.split(",") if name) for lang, part in by.items()}
+    assert min(rejected["aa"]["symbols"], rejected["aa"]["capitals"], rejected["bb"]["capitals"], rejected["bb"]["symbols"]) > 10
+    assert rejected["aa"]["symbols"] > rejected["bb"]["symbols"]  # the stricter cutoff
+    for part in by.values():
+        assert sum(not r.kept for r in part if r.doc_id in good) <= 0.02 * len(part)
+    assert not any(r.base_failed for r in got)
