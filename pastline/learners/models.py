@@ -102,7 +102,8 @@ class GaussianNB:
     def k(self) -> int:
         return max(self.priors) + 1
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def log_joint(self) -> list[Column]:
+        """Per class the log of prior times density; next to nothing for a class without rows."""
         scores = []
         for c in range(self.k):
             if c not in self.priors:
@@ -112,7 +113,10 @@ class GaussianNB:
             for x, mu, v in zip(self.cols, self.means[c], self.vars[c]):
                 s = s + F.lit(-0.5 * math.log(2 * math.pi * v)) - (F.col(x) - F.lit(mu)) ** 2 / F.lit(2 * v)
             scores.append(s)
-        return _with_probs(df, _softmax(scores))
+        return scores
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return _with_probs(df, _softmax(self.log_joint()))
 
 
 def nb_stats(train: DataFrame, cols: Sequence[str]) -> DataFrame:
