@@ -31,6 +31,8 @@ from pastline.llm.common import stored
 LEAST_POINTS, LEAST_COUNT, RATIO, DROP = 6, 5, 5, 199
 #: Lengths of grams; the longest is half the least word length at most. Places from which a gram is extended.
 GRAM, LONGEST, HEAVY = 2, 3, 64
+#: Words of a task that decomposes them.
+PART = 1 << 14
 #: Bytes of text taken at a time, bytes of partial counts kept, and length up to which checksums go word-parallel.
 CHUNK, KEPT, SHORT = 4 << 20, 32 << 20, 48
 
@@ -250,7 +252,8 @@ def gram_lists(words: DataFrame, dictionary: dict[str, int]) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], NAMES)
 
-    return words.select("word", "n").mapInArrow(run, POSTED)
+    parts = -(-words.count() // PART) or 1  # the table is small in bytes, its decomposition is not
+    return words.select("word", "n").repartition(parts).mapInArrow(run, POSTED)
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
