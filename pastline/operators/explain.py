@@ -17,6 +17,10 @@ from pastline.operators.history import dense_order
 from pastline.sources.scratch import stored
 
 
+#: Scored points per task: rows are few and multiply, so they are dealt by the points they become.
+POINTS = 1 << 18
+
+
 def _replace_at(arr, idx, val):
     """``arr`` with element ``idx`` (0-based) replaced by ``val``."""
     return F.transform(arr, lambda x, i: F.when(i == idx, val).otherwise(x))
@@ -39,8 +43,9 @@ def permutation_importance(model, df: DataFrame, *, id_col: str, names: Sequence
     # each repeat holds n rows, so a row's place in its repeat is its place among all less the repeats before
     donor = dense_order(reps, time="_r", tie=["_h", id_col], out="_hp")
     donor = donor.select("_r", (F.col("_hp") - F.col("_r") * F.lit(n)).alias("_pos"), "_da")
-    pairs = own.join(donor, "_pos")
     k = len(names)
+    # a pair becomes k points: dealt so that a task scores POINTS of them, however small the pairs are
+    pairs = own.join(donor.repartition(max(1, -(-n * repeats * k // POINTS)), "_pos"), "_pos")
     copies = pairs.select(LABEL, "_r", F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_c"), "_a", "_da")
     copies = copies.select(LABEL, "_r", "_c", array_to_vector(_replace_at(F.col("_a"), F.col("_c"),
                                                                          F.col("_da")[F.col("_c")])).alias(FEATURES))
@@ -65,6 +70,8 @@ def shapley_sampled(model, rows: DataFrame, baseline: Sequence[float], *, id_col
     d = len(names)
     base = F.array(*[F.lit(float(b)) for b in baseline])
     x = rows.select(id_col, vector_to_array(FEATURES).alias("_x"))
+    # dealt by the points the rows become; all that follows is grouped by the id, so this is the one exchange of rows
+    x = x.repartition(max(1, -(-x.count() * permutations * (d + 1) // POINTS)), id_col)
     perm = x.select(id_col, "_x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("_m"))
     # a seeded permutation of 0..d-1 per (row, m): sort indices by a hash
     order = F.transform(F.array_sort(F.transform(
@@ -72,10 +79,12 @@ def shapley_sampled(model, rows: DataFrame, baseline: Sequence[float], *, id_col
         lambda j: F.struct(F.xxhash64(F.col(id_col), F.col("_m"), j, F.lit(seed)).alias("h"), j.alias("j")))),
         lambda s: s["j"])
     perm = perm.withColumn("_o", order)
-    steps = perm.select(id_col, "_m", "_x", "_o", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_s"))
+    # the place of each feature in the permutation
+    rank = F.transform(F.array_sort(F.transform("_o", lambda j, i: F.struct(j.alias("j"), i.alias("i")))), lambda s: s["i"])
+    perm = perm.withColumn("_rank", rank)
+    steps = perm.select(id_col, "_m", "_x", "_o", "_rank", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("_s"))
     # features whose position in the permutation is < step take the row's value
-    revealed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda j: F.when(
-        F.array_position(F.slice(F.col("_o"), 1, F.col("_s")), j) > 0, F.col("_x")[j]).otherwise(base[j]))
+    revealed = F.transform("_x", lambda v, j: F.when(F.get("_rank", j) < F.col("_s"), v).otherwise(base[j]))
     pts = steps.select(id_col, "_m", "_s", F.when(F.col("_s") > 0, F.col("_o")[F.col("_s") - 1]).alias("_feat"),
                        array_to_vector(F.when(F.col("_s") == 0, base).otherwise(revealed)).alias(FEATURES))
     probs = prob_cols(model.k)
