@@ -4,8 +4,8 @@ Spark's forests do not expose their bags, so the bags are explicit: a
 seeded hash of (row id, tree) draws a Poisson(1) count per row and tree;
 each tree is a one-tree forest fitted with that count as row weight. Rows
 with count 0 are out of bag for that tree and collect its class
-probabilities. Running sums are columns; the lineage is cut with a
-checkpoint every few trees.
+probabilities. One pass over the rows scores all trees and gives the error
+after each reported number of them.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pastline.learners.data import FEATURES, LABEL, hash_uniform
 from pastline.learners.models import _depth, _item, n_classes
-
+from pastline.learners.parallel import pmap
 
 #: beyond this count a Poisson(1) draw is rarer than one step of a 53-bit uniform
 MOST = 18
@@ -38,34 +38,31 @@ def poisson_one(u):
 
 
 def oob_curve(train: DataFrame, *, id_col: str, n_trees: int, report_at: Sequence[int], max_depth: int = 10,
-              min_leaf: int = 1, features: str = "sqrt", seed: int = 42, checkpoint_every: int = 4) -> list[tuple]:
+              min_leaf: int = 1, features: str = "sqrt", seed: int = 42, at_once: int = 4) -> list[tuple]:
     k = n_classes(train)
-    d = train.select(id_col, FEATURES, LABEL, *[F.lit(0.0).alias(f"_v{c}") for c in range(k)],
-                     F.lit(0).alias("_nv"))
-    out, prev = [], None
-    for t in range(n_trees):
-        d = d.withColumn("_bw", poisson_one(hash_uniform(F.col(id_col), F.lit(t), F.lit(seed))))
+    d = train.select(id_col, FEATURES, LABEL)
+    drawn = [poisson_one(hash_uniform(F.col(id_col), F.lit(t), F.lit(seed))) for t in range(n_trees)]
+
+    def tree(t: int):
         rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, weightCol="_bw", numTrees=1,
                                     bootstrap=False, subsamplingRate=1.0, maxDepth=_depth(max_depth),
                                     minInstancesPerNode=min_leaf, featureSubsetStrategy=features, seed=seed + t)
-        m = rf.fit(d.where(F.col("_bw") > 0))
-        sc = m.transform(d).withColumn("_pa", vector_to_array("probability")).drop(
+        return rf.fit(d.withColumn("_bw", drawn[t]).where(F.col("_bw") > 0))
+
+    # the bags are hashes of the ids, so no tree waits for another and no frame is carried between them
+    fitted = pmap(tree, range(n_trees), workers=at_once)
+    sc = d
+    for t, m in enumerate(fitted):
+        sc = m.transform(sc).withColumn(f"_o{t}", F.when(drawn[t] == 0, vector_to_array("probability"))).drop(
             "rawPrediction", "probability", "prediction")
-        oob = F.col("_bw") == 0
-        d = sc.select(id_col, FEATURES, LABEL,
-                      *[(F.col(f"_v{c}") + F.when(oob, _item("_pa", c)).otherwise(0.0)).alias(f"_v{c}")
-                        for c in range(k)],
-                      (F.col("_nv") + F.when(oob, 1).otherwise(0)).alias("_nv"))
-        d = d.checkpoint() if (t + 1) % checkpoint_every == 0 else d.persist()
-        d.count()  # materialise before releasing the previous tree's frame
-        if prev is not None:
-            prev.unpersist()
-        prev = d
-        if t + 1 in report_at:
-            best = F.array_max(F.array(*[F.struct(F.col(f"_v{c}").alias("v"), F.lit(-c).alias("n")) for c in range(k)]))
-            r = d.where(F.col("_nv") > 0).agg(
-                F.avg((-best["n"] != F.col(LABEL)).cast("double")).alias("err"), F.count(F.lit(1)).alias("n")).first()
-            out.append((t + 1, float(r["err"]), int(r["n"])))
-    if prev is not None:
-        prev.unpersist()
-    return out
+    sc = sc.drop(FEATURES, id_col)
+    aggs, shown = [], [t for t in range(1, n_trees + 1) if t in report_at]
+    for n in shown:
+        votes = [sum((F.when(F.col(f"_o{t}").isNotNull(), _item(f"_o{t}", c)).otherwise(0.0) for t in range(n)), F.lit(0.0)) for c in range(k)]
+        voted = F.lit(False)
+        for t in range(n):
+            voted = voted | F.col(f"_o{t}").isNotNull()
+        best = F.array_max(F.array(*[F.struct(v.alias("v"), F.lit(-c).alias("n")) for c, v in enumerate(votes)]))
+        aggs += [F.avg(F.when(voted, (-best["n"] != F.col(LABEL)).cast("double"))).alias(f"err{n}"), F.count_if(voted).alias(f"n{n}")]
+    row = sc.agg(*aggs).first() if aggs else None  # one pass for the whole curve
+    return [(n, float(row[f"err{n}"]), int(row[f"n{n}"])) for n in shown]
