@@ -42,6 +42,33 @@ def test_order_needs_no_second_exchange(spark):
     assert H.dense_order(df.limit(0), buckets=3).collect() == []
 
 
+def test_order_stores_more_than_it_moves(spark):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate([3, 1, 2])], "match_date int, match_id long")
+    out = H.dense_order(df, buckets=2, then=lambda d: d.withColumn("wide", F.concat_ws("-", "match_date", "match_id")))
+    assert [(r.seq, r.wide) for r in out.orderBy("seq").collect()] == [(0, "1-1"), (1, "2-2"), (2, "3-0")]
+    assert out.columns == ["match_date", "match_id", "wide", "seq"]
+
+
+def test_carries_meet_rows_where_they_are(spark):
+    made = [(i, i // 4, 1, "H", float(i % 3), 1.0, i % 2 == 0) for i in range(60)]
+    long = spark.createDataFrame(made, "match_id long, match_date int, entity int, venue string, gf double, ga double, won boolean")
+    long = long.withColumn("match_date", F.timestamp_seconds(F.col("match_date") * 86400))
+    out = H.entity_history(long, segment_rows=10)
+    assert out.count() == 60
+    # one exchange, of the light keys' rows: the summary of the segments is read, not computed beside them
+    assert plan(out).count("Exchange hashpartitioning") == 1
+
+
+def test_closed_forms_need_no_order(spark):
+    from pastline.plans import q_learn as Q
+    from tests.conftest import SF001
+    x, names = Q.learn_rows(spark, SF001)
+    assert "Exchange" not in plan(x)
+    y, same, _ = Q.learn_data(spark, SF001)
+    assert names == same and sorted(y.columns) == sorted([*x.columns, "seq"])
+    assert {tuple(r) for r in x.drop("features").collect()} == {tuple(r) for r in y.select(x.drop("features").columns).collect()}
+
+
 def test_folds_need_no_join(spark):
     df = rows(spark)
     t, fold = D.stratified_fold_col(df, label="label", seq="seq", k=5)
