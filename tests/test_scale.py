@@ -144,3 +144,54 @@ def test_fits_leave_nothing_behind(spark):
     L.fit_calibrated_svm(t, fold, k=3, max_iter=3)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= held
     assert checkpoints(spark) == files  # rows are read again or stored as Parquet, never checkpointed
+
+
+def persisted_in_memory(spark):
+    return [r for r in spark.sparkContext._jsc.getPersistentRDDs().values() if r.getStorageLevel().useMemory()]
+
+
+def test_fits_run_together_as_far_as_their_copies_fit(spark, monkeypatch):
+    from pastline.learners import parallel as P
+    assert P.storage_bytes(spark) > 1 << 20
+    monkeypatch.setattr(P, "storage_bytes", lambda s: 10 * 1000 * (8 * 3 + P.ROW_BYTES) / P.ROOM)
+    assert [P.fits_at_once(spark, n, 3) for n in (1000, 3000, 10 ** 9)] == [10, 3, 1]
+    # fits inside of fits that run together share what there is
+    assert P.pmap(lambda _: P.fits_at_once(spark, 1000, 3), range(4), workers=2) == [5] * 4
+    assert P.pmap(lambda _: P.pmap(lambda _: P.fits_at_once(spark, 1000, 3), range(2), workers=2)[0], range(5), workers=5) == [1] * 5
+
+
+@pytest.mark.parametrize("room, want", [(0, {"boost": [1] * 2, "calibrated": [1] * 4, "stacking": [1] * 2}),
+                                        (1 << 40, {"boost": [3] * 2, "calibrated": [3] * 4, "stacking": [2, 1]})])
+def test_memory_is_left_to_the_solvers(spark, monkeypatch, room, want):
+    from pastline.learners import parallel as P
+    df, seen, held = rows(spark, 90).drop("x").coalesce(1), [], []
+
+    def seeing(fn, items, workers):
+        seen.append(workers)
+        held.append(len(persisted_in_memory(spark)))
+        return P.pmap(fn, items, 1)
+
+    monkeypatch.setattr(P, "storage_bytes", lambda s: room)
+    monkeypatch.setattr(L, "pmap", seeing)
+    before = len(persisted_in_memory(spark))
+    L.fit_boost(df, df, rounds=2, depth=2)
+    assert seen == want["boost"] and max(held) == before  # the frames of a fit take no memory of the executors
+    del seen[:], held[:]
+    t, fold = D.stratified_fold_col(df, label="label", seq="seq", k=3)
+    L.fit_calibrated_svm(t, fold, k=3, max_iter=1)
+    assert seen == want["calibrated"] and max(held) == before
+    del seen[:]
+    t, fold = D.stratified_fold_col(df, label="label", seq="seq", k=2)
+    L.fit_stacking(t, fold, [lambda r: L.fit_tree(r, max_depth=3)], k=2)
+    assert seen == [min(2, max(1, want["stacking"][0])), 1]
+
+
+def test_one_vs_rest_is_sparks(spark):
+    from pyspark.ml.classification import LinearSVC, OneVsRest
+    df = rows(spark)
+    t = L.weighted(df, True)
+    svc = LinearSVC(featuresCol="features", labelCol="label", weightCol="w", regParam=1.0 / t.agg(F.sum("w")).first()[0], maxIter=20, tol=1e-4, standardization=False)
+    want = OneVsRest(classifier=svc, featuresCol="features", labelCol="label", weightCol="w").fit(t)
+    got = L.fit_linear_svm(df, max_iter=20).model
+    assert [m.coefficients.toArray().tolist() for m in got.models] == [m.coefficients.toArray().tolist() for m in want.models]
+    assert [r.prediction for r in got.transform(df).orderBy("match_id").collect()] == [r.prediction for r in want.transform(df).orderBy("match_id").collect()]
